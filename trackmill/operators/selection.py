@@ -16,17 +16,21 @@ def _utc_literal(moment: datetime):
 
 
 def select_incremental(
-    sessions: DataFrame, now: datetime, lookback_days: int = LOOKBACK_DAYS
+    sessions: DataFrame,
+    now: datetime,
+    lookback_days: int = LOOKBACK_DAYS,
+    ended: str = "date_end",
+    season: str = "year",
 ) -> DataFrame:
     """Sessions that ended in the window up to ``now``, a naive UTC time; both ends included.
 
-    ``date_end`` is a UTC wall clock. Only the seasons the window touches are looked at,
-    which prunes a table partitioned by year.
+    ``ended`` is a UTC wall clock. Only the seasons the window touches are looked at:
+    where ``season`` is a landing folder, the other folders are not read.
     """
     start = now - timedelta(days=lookback_days)
     return drop_null_keys(sessions, ["session_key"]).filter(
-        F.col("year").between(start.year, now.year)
-        & F.col("date_end").between(_utc_literal(start), _utc_literal(now))
+        F.col(season).between(start.year, now.year)
+        & F.col(ended).between(_utc_literal(start), _utc_literal(now))
     )
 
 
@@ -45,20 +49,26 @@ def select_backfill(
     this_year: int,
     seasons: Sequence[int] | None = None,
     first: int = FIRST_SEASON,
+    season: str = "year",
 ) -> DataFrame:
     """Every session of the seasons, finished or not."""
     wanted = valid_seasons(DEFAULT_SEASONS if seasons is None else seasons, this_year, first)
-    return drop_null_keys(sessions, ["session_key"]).filter(F.col("year").isin(*wanted))
+    return drop_null_keys(sessions, ["session_key"]).filter(F.col(season).isin(*wanted))
 
 
 def select_sessions(
-    sessions: DataFrame, mode: str, now: datetime, seasons: Sequence[int] | None = None
+    sessions: DataFrame,
+    mode: str,
+    now: datetime,
+    seasons: Sequence[int] | None = None,
+    ended: str = "date_end",
+    season: str = "year",
 ) -> DataFrame:
     if mode not in RUN_MODES:
         raise ValueError(f"unknown run mode: {mode}")
     if mode == "backfill":
-        return select_backfill(sessions, now.year, seasons)
-    return select_incremental(sessions, now)
+        return select_backfill(sessions, now.year, seasons, season=season)
+    return select_incremental(sessions, now, ended=ended, season=season)
 
 
 def facts_for_sessions(facts: DataFrame, sessions: DataFrame) -> DataFrame:

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from trackmill.schemas import columns
+
 DRIVERS = 20
 
 
@@ -160,3 +162,40 @@ TABLES = {
 
 def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {name: derive(spark, sf_dir) for name, derive in TABLES.items()}
+
+
+# --- landing payloads made of the same rows ------------------------------------------------
+
+
+def _wire_value(df: DataFrame, name: str):
+    """A column the way the wire carries it: times as ISO text in UTC, rain as 0 or 1."""
+    kind = df.schema[name].dataType.simpleString()
+    if kind == "timestamp_ntz":
+        return F.concat(F.translate(F.col(name).cast("string"), " ", "T"), F.lit("+00:00"))
+    return F.col(name).cast("int") if name == "rainfall" else F.col(name)
+
+
+def payloads(raw: DataFrame, table: str, request: str = "session_key") -> DataFrame:
+    """Every row as a payload of one record, requested by its own key. NULL fields are left out."""
+    names = columns(table)
+    record = F.to_json(F.struct(*[_wire_value(raw, n).alias(n) for n in names]))
+    return raw.select(
+        F.concat(F.lit("["), record, F.lit("]")).alias("payload"),
+        F.col(request).alias("_requested"),
+        F.lit("derived").alias("_path"),
+        F.lit("2024-01-01 00:00:00").cast("timestamp").alias("_modified"),
+    )
+
+
+def damaged_payloads(weather_rows: DataFrame) -> DataFrame:
+    """Payloads of which some are cut short, not arrays, or hold something other than objects."""
+    record = F.to_json(F.struct("id", "pressure"))
+    return weather_rows.select(
+        "id",
+        F.when(F.col("pressure").isNull(), F.concat(F.lit("["), record))
+        .when(F.col("humidity").isNull(), record)
+        .when(F.col("wind_speed").isNull(), F.concat(F.lit("["), record, F.lit(", null]")))
+        .when(F.col("session_key").isNull(), F.concat(F.lit("["), record, F.lit(", 7]")))
+        .otherwise(F.concat(F.lit("["), record, F.lit("]")))
+        .alias("payload"),
+    )
