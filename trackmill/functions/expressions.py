@@ -55,20 +55,22 @@ def utc_timestamp(text: Column) -> Column:
     Goes through epoch microseconds, so the session time zone does not matter.
     Text that is not a timestamp fails the job.
     """
+
+    def sign_at(from_end: int) -> Column:
+        return F.substring(text, -from_end, 1).isin("+", "-")
+
+    # a zone is Z, +hh:mm, +hhmm or +hh
+    has_zone = text.endswith("Z") | sign_at(6) | sign_at(5) | sign_at(3)
     has_time = text.contains(":")
-    has_zone = text.rlike(r"(Z|[+-]\d{2}(:?\d{2})?)$")
     instant = (
         F.when(text == "", None)
         .when(has_time & has_zone, text)
-        .when(has_time, F.concat(text, F.lit(" UTC")))
-        .otherwise(F.concat(text, F.lit(" 00:00:00 UTC")))
+        .when(has_time, F.concat(text, F.lit("Z")))
+        .otherwise(F.concat(text, F.lit(" 00:00:00Z")))
         .cast("timestamp")
     )
-    seconds = F.unix_micros(instant).cast("decimal(20,0)") / F.lit(1_000_000)
-    zero = F.lit(0)
-    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(
-        zero, zero, zero, seconds.cast("decimal(18,6)")
-    )
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_add("MICROSECOND", F.unix_micros(instant), epoch)
 
 
 def truth(text: Column) -> Column:

@@ -17,6 +17,18 @@ def raw_schema(table: str) -> T.StructType:
     return T.StructType.fromDDL(", ".join([*fields, "created_at timestamp_ntz"]))
 
 
-def record_ddl(table: str) -> str:
-    """Wire form of one record: every field as text, cast later so bad values can be told apart."""
+def wire_ddl(table: str) -> str:
+    """One record as JSON carries it: numbers and flags as such, times as text.
+
+    Whole numbers may arrive as 44.0 and rain as 0, 1, false or true.
+    """
+    wire = {"int": "double", "timestamp_ntz": "string"}
+    kinds = {n: wire.get(kind, kind) for n, kind in RAW_COLUMNS[table].items()}
+    if "rainfall" in kinds:
+        kinds["rainfall"] = "string"
+    return ", ".join(f"{name} {kind}" for name, kind in kinds.items())
+
+
+def text_ddl(table: str) -> str:
+    """One record with every field as text, to be cast later so that bad values can be told apart."""
     return ", ".join(f"{name} string" for name in RAW_COLUMNS[table])
