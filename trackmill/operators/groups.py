@@ -35,28 +35,11 @@ def greatest(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> Data
     return df.groupBy(*keys).agg(best).select(*keys, *[F.col(f"_best.{c}") for c in columns])
 
 
-def rank_within(
-    df: DataFrame, keys: Sequence[str], value: str, name: str, slice_width: float
-) -> DataFrame:
-    """``rank()`` of ``value`` ascending inside ``keys``, spread over slices of the value.
-
-    A plain window would rank a whole group in one task. Here each slice of ``slice_width``
-    is ranked on its own and shifted by the number of rows in the slices below it, so the
-    only thing ordered per group is its list of slices.
+def rank_within(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
+    """``rank()`` of ``value`` ascending inside ``keys``: equals share a rank and leave gaps.
+
+    A group is ranked in one task, so reduce it first to a number of rows that does not grow
+    with the facts.
     """
-    sliced = df.withColumn("_slice", F.floor(F.col(value) / slice_width))
-    below = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        sliced.groupBy(*keys, "_slice")
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .withColumn("_below", F.coalesce(F.sum("_rows").over(below), F.lit(0)))
-        .drop("_rows")
-    )
-    inside = F.rank().over(Window.partitionBy(*keys, "_slice").orderBy(F.col(value).asc()))
-    ranked = sliced.withColumn("_inside", inside).alias("ranked")
-    same_slice = [
-        F.col(f"ranked.{c}").eqNullSafe(F.col(f"offsets.{c}")) for c in [*keys, "_slice"]
-    ]
-    return ranked.join(offsets.alias("offsets"), same_slice).select(
-        "ranked.*", (F.col("_inside") + F.col("_below")).alias(name)
-    ).drop("_slice", "_inside")
+    rank = F.rank().over(Window.partitionBy(*keys).orderBy(F.col(value).asc_nulls_last()))
+    return df.withColumn(name, rank.cast("bigint"))

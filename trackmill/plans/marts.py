@@ -25,8 +25,6 @@ from trackmill.operators.groups import greatest, least, rank_within
 
 ENTRY = ["session_key", "driver_number"]
 SECTORS = ["duration_sector_1", "duration_sector_2", "duration_sector_3"]
-# Width in seconds of the slices a circuit's ranking is spread over; any width ranks alike.
-RANK_SLICE_SECONDS = 0.1
 
 
 def race_sessions(sessions: DataFrame) -> DataFrame:
@@ -110,12 +108,9 @@ def fastest_laps(races: DataFrame, best_laps: DataFrame, drivers: DataFrame) ->
         *SECTORS,
         lap_time(F.col("lap_duration")).alias("fastest_lap_fmt"),
     )
+    # a circuit's season now has one row per driver, however many laps were driven
     return rank_within(
-        listed,
-        ["circuit_short_name", "year"],
-        "fastest_lap_sec",
-        "rank_on_circuit",
-        RANK_SLICE_SECONDS,
+        listed, ["circuit_short_name", "year"], "fastest_lap_sec", "rank_on_circuit"
     )
 
 
@@ -215,8 +210,10 @@ def race_summary(
     weather: DataFrame,
 ) -> DataFrame:
     """One row per race that has positions, or one per winner where there are several."""
+    # asking for the position makes this the aggregation the winners need: Spark runs it once
+    placed = finals.filter(F.col("final_position").isNotNull()).select("session_key")
     return (
-        races.join(finals.select("session_key"), "session_key", "left_semi")
+        races.join(placed, "session_key", "left_semi")
         .join(winners, "session_key", "left")
         .join(fastest, "session_key", "left")
         .join(pit_stats, "session_key", "left")

@@ -26,7 +26,7 @@ from trackmill.plans.models import ANOMALIES, MARTS, STAGING, Models
 from trackmill.plans.suite import check_report
 from trackmill.schemas import columns
 from trackmill.sources.payloads import payload_problem, read_records
-from trackmill.sources.testdata import damaged_payloads, payloads, raw_tables
+from trackmill.sources.testdata import RawTables, damaged_payloads, payloads
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -47,12 +47,8 @@ CHANGED_VALUE = {
 }
 
 
-def _raw(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return raw_tables(spark, sf_dir)
-
-
 def _model(name: str) -> Query:
-    return lambda spark, sf_dir: getattr(Models(_raw(spark, sf_dir)), name)
+    return lambda spark, sf_dir: getattr(Models(RawTables(spark, sf_dir)), name)
 
 
 def _read(table: str) -> Query:
@@ -60,27 +56,27 @@ def _read(table: str) -> Query:
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         request = "year" if table == "sessions" else "session_key"
-        sent = payloads(_raw(spark, sf_dir)[table], table, request)
+        sent = payloads(RawTables(spark, sf_dir)[table], table, request)
         return read_records(sent, table).select(*columns(table))
 
     return query
 
 
 def validate_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
-    damaged = damaged_payloads(_raw(spark, sf_dir)["weather"])
+    damaged = damaged_payloads(RawTables(spark, sf_dir)["weather"])
     return damaged.select("id", payload_problem(F.col("payload")).alias("problem"))
 
 
 def latest_pit_stop(spark: SparkSession, sf_dir: str) -> DataFrame:
     order = [F.col("id").desc()]
     return latest_in_batch(
-        _raw(spark, sf_dir)["pit_stops"], ["session_key", "driver_number"], order
+        RawTables(spark, sf_dir)["pit_stops"], ["session_key", "driver_number"], order
     )
 
 
 def complete_lap_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_null_keys(
-        _raw(spark, sf_dir)["laps"], ["session_key", "driver_number", "lap_number"]
+        RawTables(spark, sf_dir)["laps"], ["session_key", "driver_number", "lap_number"]
     )
 
 
@@ -90,7 +86,7 @@ def _seasons(raw: dict[str, DataFrame], condition: str) -> DataFrame:
 
 def upsert_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sessions known up to a season, then all from that season on sent again and renamed."""
-    rows = _raw(spark, sf_dir)["sessions"]
+    rows = RawTables(spark, sf_dir)["sessions"]
     at = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
     later = F.lit("2024-02-01 00:00:00").cast("timestamp_ntz")
     current = rows.filter(F.col("year") <= KNOWN_UNTIL).withColumn("created_at", at)
@@ -103,7 +99,7 @@ def upsert_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def upsert_drivers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = _raw(spark, sf_dir)
+    raw = RawTables(spark, sf_dir)
     at = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
     later = F.lit("2024-02-01 00:00:00").cast("timestamp_ntz")
     known = _seasons(raw, f"year <= {KNOWN_UNTIL}")
@@ -121,7 +117,7 @@ def _replace(table: str) -> Query:
     """The whole fact table, then the later seasons' sessions loaded again with another value."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        raw = _raw(spark, sf_dir)
+        raw = RawTables(spark, sf_dir)
         sent = _seasons(raw, f"year >= {RELOADED_FROM}")
         value = CHANGED_VALUE[table]
         new = facts_for_sessions(raw[table], sent).withColumn(value, F.col(value) + 1)
@@ -132,22 +128,22 @@ def _replace(table: str) -> Query:
 
 def replace_rainy_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Replacement by another key: the days with rain hold only their rainy rows afterwards."""
-    weather = _raw(spark, sf_dir)["weather"]
+    weather = RawTables(spark, sf_dir)["weather"]
     new = weather.filter("rainfall and date is not null")
     return replace_by_key(weather, new, "date").select(*weather.columns)
 
 
 def selected_incrementally(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return select_incremental(_raw(spark, sf_dir)["sessions"], NOW, LOOKBACK_DAYS)
+    return select_incremental(RawTables(spark, sf_dir)["sessions"], NOW, LOOKBACK_DAYS)
 
 
 def selected_for_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return select_backfill(_raw(spark, sf_dir)["sessions"], THIS_YEAR, SEASONS, FIRST_SEASON)
+    return select_backfill(RawTables(spark, sf_dir)["sessions"], THIS_YEAR, SEASONS, FIRST_SEASON)
 
 
 def parse_utc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lap times as text in another zone, read back as UTC."""
-    laps = _raw(spark, sf_dir)["laps"].select("session_key", "driver_number", "date_start")
+    laps = RawTables(spark, sf_dir)["laps"].select("session_key", "driver_number", "date_start")
     text = F.translate(F.col("date_start").cast("string"), " ", "T")
     return laps.select(
         "session_key",
@@ -159,18 +155,18 @@ def parse_utc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def laps_of_selected(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = _raw(spark, sf_dir)
+    raw = RawTables(spark, sf_dir)
     chosen = select_incremental(raw["sessions"], NOW, LOOKBACK_DAYS)
     return facts_for_sessions(raw["laps"], chosen).select(*columns("laps"))
 
 
 def lap_time_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    laps = _raw(spark, sf_dir)["laps"].filter("lap_duration > 0")
+    laps = RawTables(spark, sf_dir)["laps"].filter("lap_duration > 0")
     return laps.select("lap_duration", lap_time(F.col("lap_duration")).alias("lap_fmt"))
 
 
 def driver_lap_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stats = Models(_raw(spark, sf_dir)).driver_lap_stats
+    stats = Models(RawTables(spark, sf_dir)).driver_lap_stats
     return stats.select(
         "session_key",
         "driver_number",
@@ -181,7 +177,7 @@ def driver_lap_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every model built, as its number of rows."""
-    models = Models(_raw(spark, sf_dir))
+    models = Models(RawTables(spark, sf_dir))
     counts = [
         getattr(models, name).agg(F.count(F.lit(1)).alias("n_rows")).select(
             F.lit(name).alias("model"), "n_rows"
@@ -192,7 +188,7 @@ def row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def check_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = _raw(spark, sf_dir)
+    raw = RawTables(spark, sf_dir)
     parts = [
         checks.not_null(raw[t], columns(t)).withColumn("table_name", F.lit(t)) for t in RAW_COLUMNS
     ]
@@ -200,35 +196,35 @@ def check_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def check_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return checks.unique(_raw(spark, sf_dir)["weather"], ["date"])
+    return checks.unique(RawTables(spark, sf_dir)["weather"], ["date"])
 
 
 def check_relationships(spark: SparkSession, sf_dir: str) -> DataFrame:
-    models = Models(_raw(spark, sf_dir))
+    models = Models(RawTables(spark, sf_dir))
     return checks.relationships(
         models.raw["laps"], "session_key", models.race_sessions, "session_key"
     )
 
 
 def check_accepted_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stops = Models(_raw(spark, sf_dir)).stg_pit_stops
+    stops = Models(RawTables(spark, sf_dir)).stg_pit_stops
     return checks.accepted_values(stops, "pit_stop_category", ["very_fast", "normal"])
 
 
 def check_unique_laps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.unique(
-        _raw(spark, sf_dir)["laps"], ["session_key", "driver_number", "lap_number"]
+        RawTables(spark, sf_dir)["laps"], ["session_key", "driver_number", "lap_number"]
     )
 
 
 def full_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    models = Models(_raw(spark, sf_dir))
+    models = Models(RawTables(spark, sf_dir))
     return check_report({name: getattr(models, name) for name in MODEL_CHECKS})
 
 
 def raw_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The staging checks on tables that never went through staging, with races as parents."""
-    models = Models(_raw(spark, sf_dir))
+    models = Models(RawTables(spark, sf_dir))
     dirty = {
         "stg_sessions": models.race_sessions,
         "stg_drivers": models.raw["drivers"],

@@ -6,23 +6,24 @@ the tables are dirty in the same way at every scale.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import cache
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from trackmill.schemas import columns
 
-DRIVERS = 20
-
+Source = Callable[[str], DataFrame]
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+DRIVERS = 20
 
 
-def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = _table(spark, sf_dir, "orders").filter("o_orderkey % 100 = 0")
+def sessions(source: Source) -> DataFrame:
+    orders = source("orders").filter("o_orderkey % 100 = 0")
     # nation and region have a fixed 25 and 5 rows at every scale
     places = F.broadcast(
-        _table(spark, sf_dir, "nation").join(
-            _table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
+        source("nation").join(
+            source("region"), F.col("n_regionkey") == F.col("r_regionkey")
         )
     )
     return orders.join(places, F.expr("n_nationkey = o_custkey % 25")).selectExpr(
@@ -44,16 +45,16 @@ def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def drivers(spark: SparkSession, sf_dir: str) -> DataFrame:
+def drivers(source: Source) -> DataFrame:
     entries = (
-        _table(spark, sf_dir, "orders")
+        source("orders")
         .filter("o_orderkey % 100 = 0")
         .selectExpr("cast(o_orderkey div 100 as int) as session_key")
         .distinct()
         .withColumn("number", F.explode(F.sequence(F.lit(0), F.lit(DRIVERS - 1))))
     )
     # at most one supplier row per driver
-    suppliers = F.broadcast(_table(spark, sf_dir, "supplier").filter(F.col("s_suppkey") < DRIVERS))
+    suppliers = F.broadcast(source("supplier").filter(F.col("s_suppkey") < DRIVERS))
     return entries.join(suppliers, F.col("number") == F.col("s_suppkey")).selectExpr(
         "cast(s_suppkey + 1 as int) as driver_number",
         "session_key",
@@ -71,8 +72,8 @@ def drivers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def laps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "lineitem").selectExpr(
+def laps(source: Source) -> DataFrame:
+    return source("lineitem").selectExpr(
         """case when l_partkey % 401 = 0 then null
                 else cast(l_orderkey div 100 as int) end as session_key""",
         """case when l_partkey % 307 = 0 then null
@@ -96,8 +97,8 @@ def laps(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _timing_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = _table(spark, sf_dir, "events").select("event_id", "user_id", "value", "ts")
+def _timing_events(source: Source) -> DataFrame:
+    events = source("events").select("event_id", "user_id", "value", "ts")
     # every ninth event is sent again later
     times_sent = F.when(F.col("event_id") % 9 == 0, F.array(F.lit(0), F.lit(1)))
     return (
@@ -107,8 +108,8 @@ def _timing_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def pit_stops(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _timing_events(spark, sf_dir).selectExpr(
+def pit_stops(source: Source) -> DataFrame:
+    return _timing_events(source).selectExpr(
         "cast(id as bigint) as id",
         "cast(event_id div 67 as int) as session_key",
         "cast(user_id % 20 + 1 as int) as driver_number",
@@ -118,8 +119,8 @@ def pit_stops(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _timing_events(spark, sf_dir).selectExpr(
+def positions(source: Source) -> DataFrame:
+    return _timing_events(source).selectExpr(
         "cast(id as bigint) as id",
         "cast(event_id div 67 as int) as session_key",
         "cast(user_id % 20 + 1 as int) as driver_number",
@@ -129,8 +130,8 @@ def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "orders").selectExpr(
+def weather(source: Source) -> DataFrame:
+    return source("orders").selectExpr(
         "cast(o_orderkey as bigint) as id",
         """case when o_custkey % 79 = 0 then null
                 else cast(o_orderkey div 100 as int) end as session_key""",
@@ -160,8 +161,16 @@ TABLES = {
 }
 
 
-def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {name: derive(spark, sf_dir) for name, derive in TABLES.items()}
+class RawTables(dict):
+    """The derived tables by name. Each is derived, and each file opened, when first asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        super().__init__()
+        self.source = cache(lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+
+    def __missing__(self, name: str) -> DataFrame:
+        self[name] = TABLES[name](self.source)
+        return self[name]
 
 
 # --- landing payloads made of the same rows ------------------------------------------------
