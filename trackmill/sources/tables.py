@@ -47,7 +47,7 @@ class SessionTable:
         self.work = work_folder(spark, f"{warehouse}/work")
         self.sessions_per_block = sessions_per_block
         self.schema = raw_schema(table)
-        self.stored_schema = raw_schema(table).add(BLOCK, "int")
+        self.stored_schema = raw_schema(table).add(BLOCK, "integer")
 
     def _block(self):
         return F.floor(F.col("session_key") / self.sessions_per_block).cast("int")
