@@ -63,22 +63,18 @@ class SessionTable:
     def read(self) -> DataFrame:
         return self._stored().select(*self.schema.names)
 
-    def read_sessions(self, keys: DataFrame) -> DataFrame:
-        """The rows of some sessions; the join is on the folder column too, so folders prune."""
-        wanted = keys.select("session_key", self._block().alias(BLOCK))
-        return (
-            self._stored()
-            .join(wanted, [BLOCK, "session_key"], "left_semi")
-            .select(*self.schema.names)
-        )
-
-    def _touched(self, batch: DataFrame) -> DataFrame:
-        """Current rows of the blocks ``batch`` has sessions in.
+    def _blocks_of(self, sessions: DataFrame) -> DataFrame:
+        """Stored rows of the blocks that ``sessions`` has keys in.
 
-        The driver lists the folders it is about to overwrite, as committing them does anyway.
+        The driver lists the blocks, as it does when it commits a write to them.
         """
-        blocks = [row[0] for row in batch.select(self._block()).distinct().collect()]
-        return self._stored().filter(F.col(BLOCK).isin(*blocks)).select(*batch.columns)
+        blocks = [row[0] for row in sessions.select(self._block()).distinct().collect()]
+        return self._stored().filter(F.col(BLOCK).isin(*blocks))
+
+    def read_sessions(self, keys: DataFrame) -> DataFrame:
+        """The rows of some sessions, from their blocks alone."""
+        rows = self._blocks_of(keys).join(keys.select("session_key"), "session_key", "left_semi")
+        return rows.select(*self.schema.names)
 
     def _write(self, rows: DataFrame) -> None:
         """Overwrite the blocks in ``rows``; a block of many rows is split over several files."""
@@ -102,7 +98,8 @@ class SessionTable:
         batch = written(reject_null_keys(new, ["session_key"], self.table), self.work)
         rows = batch.count()
         if rows:
-            self._write(replace_by_key(self._touched(batch), batch, "session_key"))
+            current = self._blocks_of(batch).select(*batch.columns)
+            self._write(replace_by_key(current, batch, "session_key"))
         return rows
 
     def upsert(self, new: DataFrame) -> int:
@@ -114,5 +111,6 @@ class SessionTable:
         batch = written(reject_null_keys(new, keys, self.table), self.work)
         rows = batch.count()
         if rows:
-            self._write(upsert(self._touched(batch), batch, keys))
+            current = self._blocks_of(batch).select(*batch.columns)
+            self._write(upsert(current, batch, keys))
         return rows
