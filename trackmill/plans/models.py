@@ -26,6 +26,10 @@ MARTS = [
     "weather_analysis",
 ]
 ANOMALIES = ["dq_lap_anomalies", "dq_weather_anomalies"]
+# Reductions that several marts share.
+SHARED = ["final_positions", "driver_lap_stats", "best_laps"]
+# Computed within one session: a session's rows depend on that session's raw rows alone.
+BY_SESSION = [name for name in [*STAGING, *SHARED, *ANOMALIES] if name != "stg_sessions"]
 
 
 class Models:
@@ -71,6 +75,11 @@ class Models:
     def lap_sectors(self) -> DataFrame:
         return staging.timed_laps(self.raw["laps"], staging.LAP_VALUES[:4])
 
+    @cached_property
+    def session_laps(self) -> DataFrame:
+        """Laps to find a session's fastest among; the best of each entry would do as well."""
+        return self.lap_times
+
     @cached_property
     def race_sessions(self) -> DataFrame:
         return marts.race_sessions(self.stg_sessions)
@@ -83,13 +92,17 @@ class Models:
     def driver_lap_stats(self) -> DataFrame:
         return marts.driver_lap_stats(self.lap_times)
 
+    @cached_property
+    def best_laps(self) -> DataFrame:
+        return marts.best_lap_per_entry(self.lap_sectors)
+
     @cached_property
     def race_winners(self) -> DataFrame:
         return marts.race_winners(self.final_positions, self.stg_drivers)
 
     @cached_property
     def session_fastest_lap(self) -> DataFrame:
-        return marts.session_fastest_lap(self.lap_times, self.stg_drivers)
+        return marts.session_fastest_lap(self.session_laps, self.stg_drivers)
 
     @cached_property
     def pit_stats_by_session(self) -> DataFrame:
@@ -128,7 +141,7 @@ class Models:
     @cached_property
     def fastest_laps(self) -> DataFrame:
         return marts.fastest_laps(
-            self.race_sessions, marts.best_lap_per_entry(self.lap_sectors), self.stg_drivers
+            self.race_sessions, self.best_laps, self.stg_drivers
         )
 
     @cached_property

@@ -9,9 +9,10 @@ lost executor only costs a recomputed task.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from trackmill.fixed_values import DIMENSION_KEYS
 from trackmill.operators.merging import reject_null_keys, replace_by_key, upsert
@@ -33,7 +34,37 @@ def written(df: DataFrame, folder: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def block_of_session(sessions_per_block: int = SESSIONS_PER_BLOCK) -> Column:
+    return F.floor(F.col("session_key") / sessions_per_block).cast("int")
+
+
+def write_blocks(rows: DataFrame, path: str, replace_all: bool = False) -> None:
+    """Overwrite the blocks in ``rows``, or the whole table with them.
+
+    A block of many rows is split over several files.
+    """
+    (
+        rows.hint("rebalance", BLOCK)
+        .sortWithinPartitions(BLOCK, "session_key")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "static" if replace_all else "dynamic")
+        .partitionBy(BLOCK)
+        .parquet(path)
+    )
+
+
+def read_or_empty(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 class SessionTable:
+    """A raw table as stored."""
+
     def __init__(
         self,
         spark: SparkSession,
@@ -49,45 +80,36 @@ class SessionTable:
         self.schema = raw_schema(table)
         self.stored_schema = raw_schema(table).add(BLOCK, "integer")
 
-    def _block(self):
-        return F.floor(F.col("session_key") / self.sessions_per_block).cast("int")
+    def _block(self) -> Column:
+        return block_of_session(self.sessions_per_block)
 
     def _stored(self) -> DataFrame:
-        try:
-            return self.spark.read.schema(self.stored_schema).parquet(self.path)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.spark.createDataFrame([], self.stored_schema)
+        return read_or_empty(self.spark, self.path, self.stored_schema)
 
     def read(self) -> DataFrame:
         return self._stored().select(*self.schema.names)
 
-    def _blocks_of(self, sessions: DataFrame) -> DataFrame:
-        """Stored rows of the blocks that ``sessions`` has keys in.
+    def blocks_of(self, sessions: DataFrame) -> list[int]:
+        """Blocks with these sessions: the driver lists what it commits writes to in any case."""
+        return [row[0] for row in sessions.select(self._block()).distinct().collect()]
 
-        The driver lists the blocks, as it does when it commits a write to them.
-        """
-        blocks = [row[0] for row in sessions.select(self._block()).distinct().collect()]
-        return self._stored().filter(F.col(BLOCK).isin(*blocks))
+    def read_blocks(self, blocks: list[int]) -> DataFrame:
+        return self._stored().filter(F.col(BLOCK).isin(*blocks)).select(*self.schema.names)
 
     def read_sessions(self, keys: DataFrame) -> DataFrame:
         """The rows of some sessions, from their blocks alone."""
-        rows = self._blocks_of(keys).join(keys.select("session_key"), "session_key", "left_semi")
-        return rows.select(*self.schema.names)
-
-    def _write(self, rows: DataFrame) -> None:
-        """Overwrite the blocks in ``rows``; a block of many rows is split over several files."""
-        (
-            rows.withColumn(BLOCK, self._block())
-            .hint("rebalance", BLOCK)
-            .sortWithinPartitions(BLOCK, "session_key")
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(BLOCK)
-            .parquet(self.path)
+        rows = self.read_blocks(self.blocks_of(keys))
+        return rows.join(keys.select("session_key"), "session_key", "left_semi").select(
+            *self.schema.names
         )
 
+    def _merge(self, batch: DataFrame, merge: Callable[[DataFrame], DataFrame]) -> int:
+        rows = batch.count()
+        if rows:
+            current = self.read_blocks(self.blocks_of(batch)).select(*batch.columns)
+            write_blocks(merge(current).withColumn(BLOCK, self._block()), self.path)
+        return rows
+
     def replace_sessions(self, new: DataFrame) -> int:
         """Swap in the new rows of every session that has some; other sessions keep theirs.
 
@@ -96,11 +118,7 @@ class SessionTable:
         if set(new.columns) != {"id", *columns(self.table), "created_at"}:
             raise ValueError(f"columns do not match table {self.table}: {new.columns}")
         batch = written(reject_null_keys(new, ["session_key"], self.table), self.work)
-        rows = batch.count()
-        if rows:
-            current = self._blocks_of(batch).select(*batch.columns)
-            self._write(replace_by_key(current, batch, "session_key"))
-        return rows
+        return self._merge(batch, lambda current: replace_by_key(current, batch, "session_key"))
 
     def upsert(self, new: DataFrame) -> int:
         """Insert rows or write over those of the same key, keeping their first load time.
@@ -109,8 +127,33 @@ class SessionTable:
         """
         keys = DIMENSION_KEYS[self.table]
         batch = written(reject_null_keys(new, keys, self.table), self.work)
-        rows = batch.count()
-        if rows:
-            current = self._blocks_of(batch).select(*batch.columns)
-            self._write(upsert(current, batch, keys))
-        return rows
+        return self._merge(batch, lambda current: upsert(current, batch, keys))
+
+
+class DerivedTable:
+    """A table computed session by session from raw tables, so that blocks can be redone alone.
+
+    A block redone may come out empty. Every block redone therefore holds one row without a
+    session key, which makes the write replace its folder and is left out when reading.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, rows: DataFrame):
+        self.spark = spark
+        self.path = path
+        self.rows = rows
+
+    def write(self, blocks: list[int] | None) -> None:
+        """Store the rows: those of some blocks over theirs, or with None over the whole table."""
+        rows = self.rows.withColumn(BLOCK, block_of_session())
+        if blocks is None:
+            write_blocks(rows, self.path, replace_all=True)
+            return
+        markers = self.spark.createDataFrame([(b,) for b in blocks], f"{BLOCK} int").select(
+            *[F.lit(None).cast(f.dataType).alias(f.name) for f in self.rows.schema.fields], BLOCK
+        )
+        write_blocks(rows.unionByName(markers), self.path)
+
+    def read(self) -> DataFrame:
+        schema = T.StructType([*self.rows.schema.fields, T.StructField(BLOCK, T.IntegerType())])
+        stored = self.spark.read.schema(schema).parquet(self.path)
+        return stored.filter(F.col("session_key").isNotNull()).select(*self.rows.columns)
