@@ -3,16 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from trackmill.fixed_values import DEFAULT_SEASONS, FIRST_SEASON, LOOKBACK_DAYS, RUN_MODES
 from trackmill.operators.merging import drop_null_keys
 
 
-def _utc_literal(moment: datetime):
-    return F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")
+def utc_wall_clock(moment: datetime) -> datetime:
+    """Without a zone: a time that has one is converted to UTC, one that has none is UTC."""
+    return moment if moment.tzinfo is None else moment.astimezone(timezone.utc).replace(tzinfo=None)
+
+
+def utc_literal(moment: datetime) -> Column:
+    return F.lit(utc_wall_clock(moment).isoformat(sep=" ")).cast("timestamp_ntz")
 
 
 def select_incremental(
@@ -22,15 +27,16 @@ def select_incremental(
     ended: str = "date_end",
     season: str = "year",
 ) -> DataFrame:
-    """Sessions that ended in the window up to ``now``, a naive UTC time; both ends included.
+    """Sessions that ended in the window up to ``now``, both ends included.
 
     ``ended`` is a UTC wall clock. Only the seasons the window touches are looked at:
     where ``season`` is a landing folder, the other folders are not read.
     """
+    now = utc_wall_clock(now)
     start = now - timedelta(days=lookback_days)
     return drop_null_keys(sessions, ["session_key"]).filter(
         F.col(season).between(start.year, now.year)
-        & F.col(ended).between(_utc_literal(start), _utc_literal(now))
+        & F.col(ended).between(utc_literal(start), utc_literal(now))
     )
 
 
@@ -67,7 +73,7 @@ def select_sessions(
     if mode not in RUN_MODES:
         raise ValueError(f"unknown run mode: {mode}")
     if mode == "backfill":
-        return select_backfill(sessions, now.year, seasons, season=season)
+        return select_backfill(sessions, utc_wall_clock(now).year, seasons, season=season)
     return select_incremental(sessions, now, ended=ended, season=season)
 
 

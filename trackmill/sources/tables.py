@@ -34,8 +34,8 @@ def written(df: DataFrame, folder: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def block_of_session(sessions_per_block: int = SESSIONS_PER_BLOCK) -> Column:
-    return F.floor(F.col("session_key") / sessions_per_block).cast("int")
+def block_of_session() -> Column:
+    return F.floor(F.col("session_key") / SESSIONS_PER_BLOCK).cast("int")
 
 
 def write_blocks(rows: DataFrame, path: str, replace_all: bool = False) -> None:
@@ -65,24 +65,14 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType | str) ->
 class SessionTable:
     """A raw table as stored."""
 
-    def __init__(
-        self,
-        spark: SparkSession,
-        warehouse: str,
-        table: str,
-        sessions_per_block: int = SESSIONS_PER_BLOCK,
-    ):
+    def __init__(self, spark: SparkSession, warehouse: str, table: str):
         self.spark = spark
         self.table = table
         self.path = f"{warehouse}/raw/{table}"
         self.work = work_folder(spark, f"{warehouse}/work")
-        self.sessions_per_block = sessions_per_block
         self.schema = raw_schema(table)
         self.stored_schema = raw_schema(table).add(BLOCK, "integer")
 
-    def _block(self) -> Column:
-        return block_of_session(self.sessions_per_block)
-
     def _stored(self) -> DataFrame:
         return read_or_empty(self.spark, self.path, self.stored_schema)
 
@@ -91,7 +81,7 @@ class SessionTable:
 
     def blocks_of(self, sessions: DataFrame) -> list[int]:
         """Blocks with these sessions: the driver lists what it commits writes to in any case."""
-        return [row[0] for row in sessions.select(self._block()).distinct().collect()]
+        return [row[0] for row in sessions.select(block_of_session()).distinct().collect()]
 
     def read_blocks(self, blocks: list[int]) -> DataFrame:
         return self._stored().filter(F.col(BLOCK).isin(*blocks)).select(*self.schema.names)
@@ -107,7 +97,7 @@ class SessionTable:
         rows = batch.count()
         if rows:
             current = self.read_blocks(self.blocks_of(batch)).select(*batch.columns)
-            write_blocks(merge(current).withColumn(BLOCK, self._block()), self.path)
+            write_blocks(merge(current).withColumn(BLOCK, block_of_session()), self.path)
         return rows
 
     def replace_sessions(self, new: DataFrame) -> int:
