@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from trackmill.llm import quality, warc
+from trackmill.llm import packing, quality, warc, wavelet
 
 QUERIES = {
+    "op2_wavelet": wavelet.op2_wavelet,
+    "op8_packing": packing.op8_packing,
     "op9_quality": quality.op9_quality,
     "op10_warc": warc.op10_warc,
     "pipeline": corpus_pipeline.run,

@@ -8,10 +8,12 @@ A public tokenizer never joins characters over certain borders, so a text is cut
 from __future__ import annotations
 
 import os
+import re
 from functools import cache
 
 CACHED_PIECES = 400_000
 CACHED_BYTES = 48 << 20
+LOOSE_SPACE = re.compile(r" \s|\s |^ | $")
 
 
 class PieceEncoder:
@@ -49,15 +51,16 @@ class PieceEncoder:
         words = text.split(" ")
         pieces = words[:1]
         pieces += [" " + w for w in words[1:]]
+        if not LOOSE_SPACE.search(text):
+            return pieces
         # a space beside other white space belongs to its run: such neighbours stay together
-        loose = [
-            i
-            for i in range(1, len(words))
-            if not words[i] or not words[i - 1] or words[i][0].isspace() or words[i - 1][-1].isspace()
-        ]
-        for i in reversed(loose):
-            pieces[i - 1 : i + 1] = ["".join(pieces[i - 1 : i + 1])]
-        return pieces
+        kept = pieces[:1]
+        for i in range(1, len(words)):
+            if not words[i] or not words[i - 1] or words[i][0].isspace() or words[i - 1][-1].isspace():
+                kept[-1] += pieces[i]
+            else:
+                kept.append(pieces[i])
+        return kept
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, in order; nulls count as empty."""
