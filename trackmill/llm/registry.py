@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from trackmill.llm import packing, quality, warc, wavelet
+from trackmill.llm import packing, quality, suffix, warc, wavelet
 
 QUERIES = {
+    "op1_suffix": suffix.op1_suffix,
     "op2_wavelet": wavelet.op2_wavelet,
     "op8_packing": packing.op8_packing,
     "op9_quality": quality.op9_quality,
