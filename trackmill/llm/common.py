@@ -46,5 +46,9 @@ def unpack(blob: bytes, kind: str = "<u8") -> np.ndarray:
 
 def batch(schema: pa.Schema, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array(columns[f.name], type=f.type) for f in schema], schema=schema
+        [
+            c if isinstance(c := columns[f.name], pa.Array) else pa.array(c, type=f.type)
+            for f in schema
+        ],
+        schema=schema,
     )

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from trackmill.llm import packing, quality, suffix, warc, wavelet
+from trackmill.llm import decontaminate, line_dedup, ngram_join, packing, quality, suffix, warc, wavelet
 
 QUERIES = {
+    "op7_decontaminate": decontaminate.op7_decontaminate,
+    "op4_line_dedup": line_dedup.op4_line_dedup,
+    "op3_ngram_join": ngram_join.op3_ngram_join,
     "op1_suffix": suffix.op1_suffix,
     "op2_wavelet": wavelet.op2_wavelet,
     "op8_packing": packing.op8_packing,
