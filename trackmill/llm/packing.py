@@ -18,33 +18,54 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from trackmill.llm.common import partitions, stored, table
+from trackmill.llm.common import batch, partitions, stored, table, utf8
 from trackmill.llm.tokens import encoder
 
 CAPACITY = 2048
-END = bytes(4)
+END = 0  # the id after every document
 #: Nodes that the search may open. A first complete solution takes one a length at most.
 NODES = 3000
 
 
+PIECES = pa.schema(
+    [
+        ("doc_id", pa.int64()),
+        ("piece", pa.int32()),
+        ("start", pa.int64()),
+        ("length", pa.int64()),
+        ("ids_crc32", pa.int64()),
+    ]
+)
+
+
 def token_pieces(docs: DataFrame, file: str, joined: bool, capacity: int = CAPACITY) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32: every text's ids with the end id, cut to pieces."""
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
-            out = []
-            texts = [t if isinstance(t, str) else "" for t in rows["text"]]
-            for doc_id, ids in zip(rows["doc_id"], encoder(file, joined).encode_all(texts)):
-                ids += END
-                for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
-                    part = ids[at : at + 4 * capacity]
-                    out.append((doc_id, piece, at // 4, len(part) // 4, zlib.crc32(part)))
-            found = pd.DataFrame(out, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
-            yield found.astype({"doc_id": "Int64"})
-
-    return docs.select("doc_id", "text").mapInPandas(
+            ids, n = encoder(file, joined).documents(list(utf8(rows["text"])), END)
+            ends = np.cumsum(n)
+            pieces = -(-n // capacity)
+            doc = np.repeat(np.arange(len(n)), pieces)
+            piece = np.arange(len(doc)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+            start = piece * capacity
+            length = np.minimum(capacity, n[doc] - start)
+            low = (ends - n)[doc] + start
+            blob = memoryview(ids.astype("<u4").tobytes())
+            crc = [zlib.crc32(blob[4 * a : 4 * b]) for a, b in zip(low.tolist(), (low + length).tolist())]
+            yield batch(
+                PIECES,
+                doc_id=rows["doc_id"].cast(pa.int64()).take(pa.array(doc)),
+                piece=piece,
+                start=start,
+                length=length,
+                ids_crc32=crc,
+            )
+
+    return docs.select("doc_id", "text").mapInArrow(
         cut, "doc_id long, piece int, start long, length long, ids_crc32 long"
     )
 

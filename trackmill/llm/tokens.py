@@ -1,26 +1,39 @@
-"""Token ids of whole texts, encoded piece by piece with a bounded cache.
+"""Token ids of whole batches of texts, encoded piece by piece.
 
-A public tokenizer never joins characters over certain borders, so a text is cut there with
-``str.split`` and each distinct piece is encoded once. Ids are kept as little-endian unsigned
-32-bit bytes: joining the pieces' bytes gives the ids of the text.
+A public tokenizer never joins characters over certain borders. Texts are cut there, all of a
+batch at once, and pieces are known by a 64-bit hash: the tokenizer encodes only those not met
+before, and the ids of the others are copied from a table of bounded size.
 """
 
 from __future__ import annotations
 
 import os
-import re
+from bisect import bisect_right
 from functools import cache
+from itertools import accumulate
 
-CACHED_PIECES = 400_000
-CACHED_BYTES = 48 << 20
-LOOSE_SPACE = re.compile(r" \s|\s |^ | $")
+import numpy as np
+
+from trackmill.llm.shingles import lowered, span_hashes
+
+KNOWN_PIECES = 1_500_000
+KNOWN_IDS = 6_000_000
+_WHITE = np.zeros(256, dtype=bool)
+_WHITE[[*range(9, 14), *range(28, 33)]] = True
+# the last two bytes of the white space beyond ASCII: C2 85, C2 A0, 9A 80, 80 80..8A, 80 A8, ...
+_WHITE_LAST = np.zeros(256, dtype=bool)
+_WHITE_LAST[[*range(0x80, 0x8B), 0x9F, 0xA0, 0xA8, 0xA9, 0xAF]] = True
+_WHITE_BEFORE = np.zeros(256, dtype=bool)
+_WHITE_BEFORE[[0xC2, 0x80, 0x81, 0x9A]] = True
 
 
 class PieceEncoder:
-    """Encodes texts with one tokenizer file.
+    """Encodes with one tokenizer file.
 
-    ``joined``: the tokenizer keeps the space before a word with the word (byte-level BPE), so
-    a piece is a word with the one space before it. Otherwise white space only separates words.
+    ``joined``: the tokenizer keeps the space before a word with the word (byte-level BPE). A
+    piece then starts at a space after something that is not white. Otherwise the tokenizer
+    drops white space and case: pieces are the words between spaces, tabs and line ends, and
+    A-Z are lower-cased.
     """
 
     def __init__(self, file: str, joined: bool):
@@ -30,55 +43,118 @@ class PieceEncoder:
         self.tokenizer = Tokenizer.from_file(file)
         self.tokenizer.encode_special_tokens = True
         self.joined = joined
-        self.known: dict[str, bytes] = {}
-        self.held = 0
-
-    def _learn(self, pieces: list[str]) -> None:
-        if len(self.known) > CACHED_PIECES or self.held > CACHED_BYTES:
-            self.known, self.held = {}, 0
-        for at in range(0, len(pieces), 4096):
-            part = pieces[at : at + 4096]
-            for piece, found in zip(
-                part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
-            ):
-                ids = b"".join(i.to_bytes(4, "little") for i in found.ids)
-                self.known[piece] = ids
-                self.held += len(piece) + len(ids)
-
-    def pieces(self, text: str) -> list[str]:
+        self._clear()
+
+    def _clear(self) -> None:
+        self.hashes = np.zeros(0, dtype=np.uint64)  # ascending
+        self.first = np.zeros(0, dtype=np.int64)
+        self.count = np.zeros(0, dtype=np.int64)
+        self.ids = np.zeros(1 << 16, dtype=np.uint32)
+        self.used = 0
+
+    def _cut(self, text: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Start and end of all pieces; ``begins`` are the starts of the texts that are not empty."""
+        if self.joined:
+            before, earlier = text[:-1], np.append(np.uint8(0), text[:-2])
+            white = _WHITE[before] | (_WHITE_LAST[before] & _WHITE_BEFORE[earlier])
+            starts = np.zeros(len(text), dtype=bool)
+            starts[1:] = (text[1:] == 32) & ~white
+            starts[begins] = True
+            start = np.flatnonzero(starts)
+            return start, np.append(start[1:], len(text))
+        gap = (text == 32) | (text == 10) | (text == 9)
+        starts = ~gap
+        starts[1:] &= gap[:-1]
+        starts[begins] = ~gap[begins]
+        ends = ~gap
+        ends[:-1] &= gap[1:]
+        ends[begins[1:] - 1] = ~gap[begins[1:] - 1]
+        return np.flatnonzero(starts), np.flatnonzero(ends) + 1
+
+    def _learn(self, pieces: list[str], hashes: np.ndarray) -> None:
+        found: list[list[int]] = [[] for _ in pieces]
+        if self.joined:  # one text made of pieces that may follow each other; the others alone
+            row = [
+                i
+                for i, p in enumerate(pieces)
+                if p[0] == " " and len(p) > 1 and not p[1].isspace() and not p[-1].isspace()
+            ]
+            alone, gap = set(range(len(pieces))).difference(row), ""
+        else:
+            row, alone, gap = range(len(pieces)), (), " "
+        for at in range(0, len(row), 1000):
+            part = row[at : at + 1000]
+            starts = list(accumulate((len(pieces[i]) + len(gap) for i in part), initial=0))
+            one = self.tokenizer.encode(gap.join(pieces[i] for i in part), add_special_tokens=False)
+            for number, (start, _) in zip(one.ids, one.offsets):
+                found[part[bisect_right(starts, start) - 1]].append(number)
+        for i in alone:
+            found[i] = self.tokenizer.encode(pieces[i], add_special_tokens=False).ids
+        count = np.array([len(x) for x in found], dtype=np.int64)
+        new = np.array([n for x in found for n in x], dtype=np.uint32)
+        first = self.used + np.cumsum(count) - count
+        while self.used + len(new) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        self.ids[self.used : self.used + len(new)] = new
+        self.used += len(new)
+        hashes = np.concatenate([self.hashes, hashes])
+        order = np.argsort(hashes, kind="stable")
+        self.hashes = hashes[order]
+        self.first = np.concatenate([self.first, first])[order]
+        self.count = np.concatenate([self.count, count])[order]
+
+    def _some(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        text = np.frombuffer(b"".join(texts), np.uint8)
+        if not len(text):
+            return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
         if not self.joined:
-            return [p for p in text.replace("\n", " ").replace("\t", " ").split(" ") if p]
-        words = text.split(" ")
-        pieces = words[:1]
-        pieces += [" " + w for w in words[1:]]
-        if not LOOSE_SPACE.search(text):
-            return pieces
-        # a space beside other white space belongs to its run: such neighbours stay together
-        kept = pieces[:1]
-        for i in range(1, len(words)):
-            if not words[i] or not words[i - 1] or words[i][0].isspace() or words[i - 1][-1].isspace():
-                kept[-1] += pieces[i]
-            else:
-                kept.append(pieces[i])
-        return kept
-
-    def encode_all(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text, in order; nulls count as empty."""
-        out = []
-        for at in range(0, len(texts), 256):
-            cut = [self.pieces(t or "") for t in texts[at : at + 256]]
-            new = set().union(*cut).difference(self.known)
-            if new:
-                before = self.known
-                self._learn(sorted(new))
-                if self.known is not before:  # the cache was emptied
-                    self._learn(sorted(set().union(*cut).difference(self.known)))
-            known = self.known.__getitem__
-            out += [b"".join(map(known, pieces)) for pieces in cut]
-        return out
+            text = lowered(text)
+        lengths = np.array([len(t) for t in texts])
+        ends = np.cumsum(lengths)
+        start, end = self._cut(text, (ends - lengths)[lengths > 0])
+        hashes = span_hashes(text, start, end)
+        distinct, where, which = np.unique(hashes, return_index=True, return_inverse=True)
+        at = np.searchsorted(self.hashes, distinct)
+        known = np.zeros(len(distinct), dtype=bool)
+        known[at < len(self.hashes)] = self.hashes[at[at < len(self.hashes)]] == distinct[at < len(self.hashes)]
+        if not known.all():
+            if len(self.hashes) + np.sum(~known) > KNOWN_PIECES or self.used > KNOWN_IDS:
+                known[:] = False  # the table starts anew
+                self._clear()
+            spell = text.tobytes()
+            new = np.flatnonzero(~known)
+            pieces = [spell[start[i] : end[i]].decode() for i in where[new]]
+            self._learn(pieces, distinct[new])
+            at = np.searchsorted(self.hashes, distinct)
+        count = self.count[at][which]
+        stop = np.cumsum(count)
+        take = np.repeat(self.first[at][which] - (stop - count), count)
+        ids = self.ids[take + np.arange(len(take))]
+        # pieces of a text end where the text ends
+        total = np.append(0, stop)[np.searchsorted(start, ends)]
+        return ids, np.diff(total, prepend=0)
+
+    def encode_all(self, texts: list[bytes], most_bytes: int = 2 << 20) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts end to end, and how many each has."""
+        ids, counts, part, size = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)], [], 0
+        for text in [*texts, None]:
+            if part and (text is None or size + len(text) > most_bytes):
+                found = self._some(part)
+                ids.append(found[0]), counts.append(found[1])
+                part, size = [], 0
+            if text is not None:
+                part.append(text)
+                size += len(text)
+        return np.concatenate(ids), np.concatenate(counts)
+
+    def documents(self, texts: list[bytes], end: int = 0) -> tuple[np.ndarray, np.ndarray]:
+        """As ``encode_all``, with the id ``end`` after every text."""
+        ids, counts = self.encode_all(texts)
+        stops = np.cumsum(counts)
+        return np.insert(ids, stops, end), counts + 1
 
 
 @cache
 def encoder(file: str, joined: bool) -> PieceEncoder:
-    """One encoder for each Python worker: Spark reuses workers, so the cache lasts over tasks."""
+    """One encoder for each Python worker: Spark reuses workers, so its table lasts over tasks."""
     return PieceEncoder(file, joined)

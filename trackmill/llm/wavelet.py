@@ -22,10 +22,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from trackmill.llm.common import partitions, shared_folder, table
+from trackmill.llm.common import partitions, shared_folder, table, utf8
 from trackmill.llm.tokens import encoder
 
-END = bytes(4)
+END = 0  # the id after every document
 BLOCK = 512  # bits to an entry of the directory
 
 
@@ -180,12 +180,10 @@ def write_shards(docs: DataFrame, folder: str, file: str, joined: bool) -> None:
         doc_ids, lengths, parts = [], [], []
         for rows in batches:
             doc_ids += rows["doc_id"].to_pylist()
-            texts = [t or "" for t in rows["text"].to_pylist()]
-            for ids in encoder(file, joined).encode_all(texts):
-                ids = np.frombuffer(ids + END, "<u4")
-                lengths.append(len(ids))
-                # half the memory while a shard is gathered
-                parts.append(ids.astype(np.uint16) if ids.max() < 1 << 16 else ids)
+            ids, counts = encoder(file, joined).documents(list(utf8(rows["text"])), END)
+            lengths += counts.tolist()
+            # half the memory while a shard is gathered
+            parts.append(ids.astype(np.uint16) if ids.max(initial=0) < 1 << 16 else ids)
         if doc_ids:
             matrix = WaveletMatrix.build(np.concatenate(parts))
             row = {
