@@ -34,11 +34,13 @@ from trackmill.llm.shingles import lowered, span_hashes, word_spans
 #: Bound on the labelled rows that the driver fits on.
 MOST_LABELLED = 8_000
 THRESHOLD = 0.3
-LANDMARKS = 48
+LANDMARKS = 24
 SHORTEST, LONGEST = 4, 7
 DECAY = 0.6
+#: Landmarks that a toxic text should hold; texts with fewer call for more.
+HELD = 5
 #: Kernel values below this share of a landmark's own are taken as none.
-FAINT = 0.12
+FAINT = 0.2
 WINDOW = 24
 KNOWN_WORDS = 2_000_000
 
@@ -101,7 +103,7 @@ def _grams(word: str) -> set[str]:
 
 
 def choose_landmarks(texts: list[set[str]], toxic: np.ndarray, most: int = LANDMARKS) -> list[str]:
-    """Strings that cover the toxic texts: greedily the one with most new texts, if precise."""
+    """Strings that toxic texts hold and others do not: greedily the one with most texts in need."""
     least = max(2, int(toxic.sum()) // 200)
     seen = Counter(g for words in (t for t, y in zip(texts, toxic) if y) for g in set().union(*map(_grams, words), ()))
     wanted = {g for g, n in seen.items() if n >= least}
@@ -123,13 +125,19 @@ def choose_landmarks(texts: list[set[str]], toxic: np.ndarray, most: int = LANDM
     precise = {g: len(w) / (len(w) + clean[g] / odds * 10) for g, w in where.items()}
     where = {g: w for g, w in where.items() if precise[g] >= 0.8}
     chosen: list[str] = []
+    need = dict.fromkeys(set().union(*where.values()), HELD)
     while len(chosen) < most and where:
         best = max(where, key=lambda g: (len(where[g]) * precise[g], len(g), g))
         covered = where.pop(best)
         if len(covered) < least:
             break
         chosen.append(best)
-        where = {g: rest for g, w in where.items() if (rest := w - covered)}
+        for i in covered:
+            need[i] -= 1
+        done = {i for i in covered if not need[i]}
+        # another part of the same string adds nothing
+        pieces = {best[i : i + SHORTEST] for i in range(len(best) - SHORTEST + 1)}
+        where = {g: w - done for g, w in where.items() if not any(p in g for p in pieces)}
     return chosen
 
 
