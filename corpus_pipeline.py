@@ -1,23 +1,79 @@
-"""Corpus pipeline: stages over ``documents``, each written as Parquet and reread by the next."""
+"""Corpus pipeline: stages over ``documents``, each written as Parquet and reread by the next.
+
+Every stage works on all rows that the one before kept and returns the columns of ``documents``
+unchanged, with further ones if there are any; the last returns packed pieces. Defined results:
+
+* quality: rows that the classifier rejects go, by their text alone, with or without a doc_id;
+* lines: lines that an earlier line nearly repeats go, and documents that had words and have none
+  left; ``n_chars`` is that of the remaining text;
+* near duplicates: of each group the document with the smallest doc_id stays, once; documents
+  without words or without a doc_id stay;
+* decontamination: documents with a benchmark passage go;
+* packing: every remaining document, the empty ones too.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from trackmill.llm import quality
+from trackmill.llm import decontaminate, line_dedup, ngram_join, packing, quality
 from trackmill.llm.common import stored, table
 
+NO_WORD = r"^[ \t-\r]*$"
+
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier, learned on these documents, does not reject."""
     forest = quality.fit(docs, table(spark, sf_dir, "labels"))
-    rejected = quality.score(docs, forest).filter("predicted = 0").select("doc_id")
-    return docs.join(rejected, "doc_id", "left_anti")
+    return quality.keep_accepted(docs, forest)
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    kept = line_dedup.remove_lines(docs)
+    # the join keeps every row, so what lost all its words is told from what had none
+    had = docs.filter(F.col("text").isNull() | F.col("text").rlike(NO_WORD))
+    rest = kept.filter(F.col("text").isNotNull() & ~F.col("text").rlike(NO_WORD))
+    rows = rest.unionByName(had)
+    return rows.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def keep_one_of_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    groups = ngram_join.join_similar(docs)
+    gone = groups.filter("doc_id <> component_id").select(F.col("doc_id").alias("gone_id")).distinct()
+    own = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text")
+    rows = docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
+    named = rows.filter("doc_id is not null")
+    once = named.select(*named.columns, F.row_number().over(own).alias("_nth_of_id")).filter("_nth_of_id = 1")
+    return once.drop("_nth_of_id").unionByName(docs.filter("doc_id is null"))
+
+
+def _key() -> Column:
+    """A document's number: its id, or a hash of its text."""
+    return F.coalesce("doc_id", F.xxhash64("text"))
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    numbered = docs.select(_key().alias("doc_id"), "text")
+    found = decontaminate.matches(numbered, table(spark, sf_dir, "benchmark"))
+    found = found.select(F.col("doc_id").alias("found_id")).distinct()
+    return docs.join(found, _key() == found["found_id"], "left_anti")
+
+
+def pack_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    file = public_tokenizers.path("word_bpe_49k.json")
+    return packing.pack(stored(packing.token_pieces(docs, file, joined=False)))
 
 
-STAGES = [("quality", keep_good)]
+STAGES = [
+    ("quality", keep_good),
+    ("line_dedup", drop_repeated_lines),
+    ("ngram_join", keep_one_of_group),
+    ("decontaminate", drop_contaminated),
+    ("packing", pack_pieces),
+]
 
-#: The stages learn models and pack greedily from hashes, which SQL cannot express.
+#: Learned scores, near duplicates, token ids and the search for fillings are beyond SQL.
 ORACLE_SQL = None
 
 

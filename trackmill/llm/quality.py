@@ -19,6 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from trackmill.llm.common import table
@@ -207,6 +208,17 @@ def score(docs: DataFrame, forest: Forest) -> DataFrame:
     )
 
 
+def keep_accepted(docs: DataFrame, forest: Forest, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows, with all their columns, whose text scores ``threshold`` or more."""
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            x = np.array([statistics(t) for t in rows["text"].to_pylist()]).reshape(-1, len(STATISTICS))
+            yield rows.filter(pa.array(forest.score(x) >= threshold))
+
+    return docs.mapInArrow(kept, docs.schema)
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return score(docs, fit(docs, table(spark, sf_dir, "labels")))

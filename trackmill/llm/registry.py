@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from trackmill.llm import decontaminate, line_dedup, ngram_join, packing, quality, suffix, toxicity, warc, wavelet
+from trackmill.llm import decontaminate, line_dedup, neighbours, ngram_join, packing, quality, suffix, toxicity, warc, wavelet
 
 QUERIES = {
+    "op5_neighbours": neighbours.op5_neighbours,
     "op6_toxicity": toxicity.op6_toxicity,
     "op7_decontaminate": decontaminate.op7_decontaminate,
     "op4_line_dedup": line_dedup.op4_line_dedup,
