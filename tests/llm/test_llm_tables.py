@@ -1,0 +1,234 @@
+"""Archive, decontamination, neighbours and the pipeline."""
+
+import hashlib
+import math
+import random
+from collections import Counter
+
+import corpus_pipeline
+import duckdb
+import numpy as np
+import plain
+import pytest
+
+from trackmill.llm import decontaminate, neighbours, warc
+from trackmill.llm.registry import ORACLES, QUERIES
+
+PAGES = "page_id long, url string, html string, payload string, address string"
+
+
+def pages(spark, rows):
+    return spark.createDataFrame([(i, u, h, "x", "y") for i, u, h in rows], PAGES).repartition(2)
+
+
+def test_archive_round_trip(spark, tmp_path):
+    rows = [(i, f"http://x/{i}", "h" * 1200) for i in range(6)] + [(9, None, None), (10, "a\r\nb", "é" * 500)]
+    rows += [(11, "u", "é" * 499), (12, "u", "é" * 499), (None, "u", "h" * 1200), (5, "again", "h" * 1200), (13, "z", "ü" * 100_000)]
+    folder = str(tmp_path / "w")
+    warc.write_archive(pages(spark, rows), folder)
+    found = warc.read_archive(spark, folder).collect()
+    assert spark.read.parquet(f"{folder}/payloads").count() == len({h or "" for *_, h in rows})
+    assert Counter((r.page_id, r.payload.decode()) for r in found) == Counter((i, h or "") for i, _, h in rows)
+    for r in found:
+        big = r.payload == b"h" * 1200
+        revisit = big and r.page_id is not None and r.page_id < 5
+        assert (r.record_type, r.refers_to) == (("revisit", 5) if revisit else ("response", None))
+        assert r.payload_digest == hashlib.sha1(r.payload).hexdigest()
+        head, _, block = bytes(r.record).partition(b"\r\n\r\n")
+        assert head.startswith(b"WARC/1.1\r\nWARC-Type: ") and block.endswith(b"\r\n\r\n")
+        assert block[:-4] == (b"" if revisit else bytes(r.payload))
+        assert r.content_length == len(block) - 4
+    assert {r.url for r in found if r.page_id == 10} == {"a%0D%0Ab"}
+
+
+def test_archive_of_nothing(spark, tmp_path):
+    warc.write_archive(pages(spark, []), str(tmp_path / "w"))
+    assert warc.read_archive(spark, str(tmp_path / "w")).count() == 0
+
+
+def test_changed_payload_is_noticed(spark, tmp_path):
+    folder = str(tmp_path / "w")
+    warc.write_archive(pages(spark, [(1, "u", "text")]), folder)
+    spark.read.parquet(f"{folder}/payloads").selectExpr("address", "cast('other' as binary) as payload").write.parquet(f"{folder}/p2")
+    (tmp_path / "w" / "payloads").rename(tmp_path / "w" / "old")
+    (tmp_path / "w" / "p2").rename(tmp_path / "w" / "payloads")
+    with pytest.raises(Exception, match="does not match its address"):
+        warc.read_archive(spark, folder).collect()
+
+
+def test_archive_query_equals_sql(spark, small):
+    found = QUERIES["op10_warc"](spark, small).toPandas()
+    con = duckdb.connect()
+    con.sql(f"create view pages as from '{small}/pages.parquet'")
+    expected = con.sql(ORACLES["op10_warc"]).df()[list(found.columns)]
+    same = lambda df: sorted(map(str, df.astype(object).where(df.notna(), None).itertuples(index=False, name=None)))
+    tidy = lambda df: df.assign(refers_to=df.refers_to.astype("Int64"))
+    assert same(tidy(found)) == same(tidy(expected))
+
+
+def plain_matches(rows, items):
+    split = lambda t: plain.WORD.findall((t or "").lower())
+    runs = lambda w, k: [tuple(w[i : i + k]) for i in range(len(w) - k + 1)]
+    parsed = {(i, tuple(split(t))) for i, t in items if split(t)}
+    often = Counter(s for _, w in parsed for s in set(runs(w, min(5, len(w)))))
+    weight = lambda s: math.floor(1000 * math.log(1 + len(parsed) / max(1, often[s])))
+    out = {}
+    for d, t in rows:
+        words = split(t)
+        for i, w in parsed:
+            k = min(5, len(w))
+            own = set(runs(w, k))
+            for at in range(len(words)):
+                window = set(runs(words[at : at + len(w)], k))
+                common = sum(map(weight, own & window))
+                union = sum(map(weight, own | window))
+                if union and 5 * common >= 4 * union:
+                    out[d, i] = max(out.get((d, i), 0), common / union)
+    return out
+
+
+def test_decontamination_finds_all_windows(spark):
+    rng = random.Random(9)
+    items = [(i, plain.sentence(rng, rng.randrange(12, 50), 5000)) for i in range(25)]
+    items += [(30, "three word item"), (31, "solo"), (32, None), (33, ""), (None, items[0][1]), (35, items[1][1]), items[2]]
+    rows = []
+    for i in range(80):
+        words = plain.sentence(rng, rng.randrange(0, 90), 5000).split()
+        at = rng.randrange(len(words) + 1)
+        passage = (rng.choice(items)[1] or "").split()
+        for _ in range(rng.randrange(0, 3)):
+            if len(passage) > 20:
+                k = rng.randrange(len(passage))
+                passage[k : k + 1] = rng.choice([[], ["odd"], [passage[k], "odd"]])
+        if i % 3:
+            words[at:at] = [x.upper() if i % 2 else x for x in passage]
+        rows.append((i, " \n".join(words)))
+    rows += [(100, None), (101, ""), (102, items[3][1][: len(items[3][1]) // 2]), (None, items[4][1]), rows[1]]
+    docs, rows = plain.documents(spark, rows)
+    benchmark = spark.createDataFrame([(i, t, 1.0) for i, t in items], "item_id long, text string, similarity double")
+    found = decontaminate.matches(docs, benchmark).collect()
+    expected = plain_matches(rows, items)
+    assert len(found) == len(expected) > 30
+    for r in found:
+        assert r.similarity == pytest.approx(expected[r.doc_id, r.item_id])
+    none = decontaminate.matches(docs, benchmark.limit(0)).count()
+    assert none == decontaminate.matches(plain.empty(spark), benchmark).count() == 0
+
+
+def test_a_large_benchmark_is_not_broadcast(spark, monkeypatch):
+    rng = random.Random(3)
+    items = [(i, plain.sentence(rng, 20, 5000)) for i in range(8)]
+    docs, _ = plain.documents(spark, [(i, "before " + t + " after") for i, t in items])
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    monkeypatch.setattr(decontaminate, "MOST_BROADCAST", 10)
+    assert {(r.doc_id, r.item_id) for r in decontaminate.matches(docs, benchmark).collect()} == {(i, i) for i in range(8)}
+
+
+def vectors(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(size=12).tolist()) for i in range(700)]
+    rows += [(700 + i, rows[50][1]) for i in range(20)]
+    rows += [(800, None), (850, [0.0] * 12), (900, [float("nan")] * 12), (950, [None] * 12), (1000, [1.0, 2.0]), (1001, [2.0, 4.0])]
+    rows += [(1050, []), (None, rows[1][1]), rows[100], (1100, [float("inf")] * 12)]
+    return spark.createDataFrame([(i, v, 3, 0.5) for i, v in rows], "vec_id long, embedding array<float>, rank int, score double"), rows
+
+
+def test_neighbours_recall_and_order(spark):
+    df, rows = vectors(spark)
+    usable = {}
+    for i, v in rows:
+        v = np.array([np.nan if x is None else x for x in v], dtype=np.float32).astype(float) if v else np.zeros(0)
+        if i is not None and len(v) and np.isfinite(v).all() and v.any():
+            usable.setdefault(i, v)
+    found = {}
+    for r in neighbours.nearest_rows(df, neighbours.F.col("vec_id") % 50 == 0).collect():
+        found.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    hits = total = 0
+    assert set(found) == {i for i in usable if i % 50 == 0}
+    for q, got in found.items():
+        got.sort()
+        cosines = [
+            (-(v @ usable[q]) / np.linalg.norm(v) / np.linalg.norm(usable[q]), i)
+            for i, v in usable.items() if i != q and len(v) == len(usable[q])
+        ]
+        best = sorted((round(c, 12), i) for c, i in cosines)[:5]
+        assert [r for r, *_ in got] == list(range(1, len(got) + 1)) and len(got) == len(best)
+        assert all(s == pytest.approx(-dict((i, c) for c, i in cosines)[i]) for _, i, s in got)
+        assert [round(s, 12) for *_, s in got] == sorted((round(s, 12) for *_, s in got), reverse=True)
+        hits += len({i for _, i, _ in got} & {i for _, i in best})
+        total += len(best)
+    assert hits / total >= 0.9
+    assert [i for _, i, _ in found[50]] == [700, 701, 702, 703, 704]
+    assert [i for _, i, _ in found[1000]] == [1001]
+    assert neighbours.nearest_rows(df.limit(0), neighbours.F.col("vec_id") % 50 == 0).count() == 0
+
+
+def test_kd_tree_stops_early_where_projections_allow():
+    rng = np.random.default_rng(0)
+    centres = rng.normal(size=(40, 16))
+    rows = np.concatenate([c + 0.02 * rng.normal(size=(50, 16)) for c in centres])
+    ids = np.arange(len(rows))
+    _, scores, checked = neighbours.search(ids, rows, ids[::50], rows[::50])
+    unit = rows / np.linalg.norm(rows, axis=1)[:, None]
+    cosines = unit[::50] @ unit.T
+    cosines[np.arange(40), ids[::50]] = -9
+    assert (scores >= np.sort(cosines)[:, -5:-4] - 1e-12).mean() >= 0.9
+    assert checked.mean() < 0.5 * len(rows)
+
+
+def test_chi_square_distribution():
+    draws = (np.random.default_rng(1).normal(size=(200_000, 8)) ** 2).sum(axis=1)
+    for x in (2.0, 7.3, 15.0):
+        assert neighbours.chi_square(np.array(x), 8) == pytest.approx((draws < x).mean(), abs=0.005)
+
+
+def test_pipeline_stages_keep_columns_and_clean_documents(spark, small):
+    docs, rows = plain.documents(spark)
+    documents = spark.read.parquet(f"{small}/documents.parquet")
+    stages = dict(corpus_pipeline.STAGES)
+    assert list(stages) == ["quality", "line_dedup", "ngram_join", "decontaminate", "packing"]
+    one = stages["ngram_join"](spark, docs, small)
+    assert one.columns == docs.columns
+    kept = [r.doc_id for r in one.collect()]
+    assert len([i for i in kept if i is not None]) == len(set(kept) - {None})
+    sets = {i: plain.shingles(t) for i, t in rows}
+    for i, a in sets.items():  # what went has a relative that was there
+        if i not in kept:
+            assert any(j != i and plain.jaccard(a, b) >= 0.8 for j, b in sets.items())
+    for i in kept:
+        assert i is None or not any(j is not None and j < i and sets[j] == sets[i] != frozenset() for j in sets)
+
+    lines = stages["line_dedup"](spark, docs, small)
+    assert lines.columns == docs.columns
+    assert all(r.n_chars == len(r.text) for r in lines.collect() if r.text)
+    assert {r.doc_id for r in lines.collect()} >= {i for i, t in rows if not (t or "").strip()}
+
+    clean = stages["decontaminate"](spark, documents, small)
+    found = {r.doc_id for r in QUERIES["op7_decontaminate"](spark, small).collect()}
+    assert {r.doc_id for r in clean.collect()} == {r.doc_id for r in documents.collect()} - found
+
+    good = stages["quality"](spark, documents, small)
+    assert good.columns == documents.columns and 0 < good.count() <= documents.count()
+
+
+def test_pipeline_runs_through(spark, small):
+    out = QUERIES["pipeline"](spark, small)
+    assert out.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
+    assert out.count() > 0
+
+
+@pytest.mark.parametrize("name", [n for n in QUERIES if n != "pipeline"])
+def test_queries_return_their_columns(spark, small, name):
+    expected = {
+        "op1": ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
+        "op2": ["doc_id", "start", "n_tokens", "ids_crc32"],
+        "op3": ["doc_id", "n_shingles", "component_id"],
+        "op4": ["doc_id", "n_removed", "removed"],
+        "op5": ["query_id", "rank", "vec_id", "score"],
+        "op6": ["doc_id", "held_out", "score", "predicted"],
+        "op7": ["doc_id", "item_id", "similarity", "start"],
+        "op8": ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"],
+        "op9": ["doc_id", "held_out", "score", "predicted"],
+        "op10": ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"],
+    }
+    assert QUERIES[name](spark, small).columns == expected[name.split("_")[0]]
