@@ -46,25 +46,28 @@ raw_sessions as (
     '00:00:00' as gmt_offset, n_name as location, r_name as country_name,
     substr(r_name, 1, 3) as country_code, cast(n_nationkey as int) as circuit_key,
     n_name as circuit_short_name, cast(year(o_orderdate) as int) as year
-  from orders join nation on n_nationkey = o_custkey % 25
-  join region on r_regionkey = n_regionkey
-  where o_orderkey % 100 = 0),
+  from (select * from orders
+        qualify o_orderkey = min(o_orderkey) over (partition by o_orderkey // 100)) o
+  join nation on n_nationkey = o_custkey % 25
+  join region on r_regionkey = n_regionkey),
 raw_drivers as (
-  select cast(s_suppkey + 1 as int) as driver_number, session_key,
+  select cast(entry + 1 as int) as driver_number, session_key,
     upper(s_name) as broadcast_name,
-    case when s_suppkey = 7 and session_key % 5 = 0 then null
+    case when entry = 7 and session_key % 5 = 0 then null
          else concat('  ', s_name, ' ') end as full_name,
-    case when s_suppkey = 9 then null
-         else concat('D', lpad(cast(s_suppkey + 1 as varchar), 2, '0')) end as name_acronym,
-    case when s_suppkey = 3 and session_key % 7 = 0 then '   '
+    case when entry = 9 then null
+         else concat('D', lpad(cast(entry + 1 as varchar), 2, '0')) end as name_acronym,
+    case when entry = 3 and session_key % 7 = 0 then '   '
          else concat('TEAM_', cast(s_nationkey % 10 as varchar), ' ') end as team_name,
     lpad(cast(s_nationkey * 1111 as varchar), 6, '0') as team_colour,
-    case when s_suppkey % 4 = 0 then null
+    case when entry % 4 = 0 then null
          else concat('C', cast(s_nationkey as varchar)) end as country_code,
-    concat('img/', cast(s_suppkey as varchar)) as headshot_url
+    concat('img/', cast(entry as varchar)) as headshot_url
   from (select distinct cast(o_orderkey // 100 as int) as session_key
-        from orders where o_orderkey % 100 = 0) k
-  join supplier on s_suppkey < 20),
+        from orders) k
+  cross join (select s_suppkey % 20 as entry, arg_min(s_name, s_suppkey) as s_name,
+                arg_min(s_nationkey, s_suppkey) as s_nationkey
+              from supplier group by all) e),
 raw_laps as (
   select case when l_partkey % 401 = 0 then null else cast(l_orderkey // 100 as int) end
       as session_key,
@@ -85,9 +88,9 @@ raw_laps as (
          else l_shipdate + l_orderkey * interval 1 second end as date_start
   from lineitem),
 timing_events as (
-  select event_id as id, event_id, user_id, value, ts from events
+  select event_id * 2 as id, event_id, user_id, value, ts from events
   union all
-  select event_id + 10000000, event_id, user_id, value + 1, ts from events where event_id % 9 = 0),
+  select event_id * 2 + 1, event_id, user_id, value + 1, ts from events where event_id % 9 = 0),
 raw_pit_stops as (
   select cast(id as bigint) as id, cast(event_id // 67 as int) as session_key,
     cast(user_id % 20 + 1 as int) as driver_number, cast(event_id % 50 as int) as lap_number,

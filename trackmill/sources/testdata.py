@@ -11,6 +11,7 @@ from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from trackmill.operators.groups import first_per_key
 from trackmill.schemas import columns
 
 Source = Callable[[str], DataFrame]
@@ -19,7 +20,9 @@ DRIVERS = 20
 
 
 def sessions(source: Source) -> DataFrame:
-    orders = source("orders").filter("o_orderkey % 100 = 0")
+    """A session for every hundred order keys, described by the first order of them."""
+    numbered = source("orders").withColumn("hundred", F.expr("o_orderkey div 100"))
+    orders = first_per_key(numbered, ["hundred"], [F.col("o_orderkey")])
     # nation and region have a fixed 25 and 5 rows at every scale
     places = F.broadcast(
         source("nation").join(
@@ -46,29 +49,30 @@ def sessions(source: Source) -> DataFrame:
 
 
 def drivers(source: Source) -> DataFrame:
+    """Every supplier stands for the entry of its key's remainder; the first one describes it."""
     entries = (
         source("orders")
-        .filter("o_orderkey % 100 = 0")
         .selectExpr("cast(o_orderkey div 100 as int) as session_key")
         .distinct()
         .withColumn("number", F.explode(F.sequence(F.lit(0), F.lit(DRIVERS - 1))))
     )
-    # at most one supplier row per driver
-    suppliers = F.broadcast(source("supplier").filter(F.col("s_suppkey") < DRIVERS))
-    return entries.join(suppliers, F.col("number") == F.col("s_suppkey")).selectExpr(
-        "cast(s_suppkey + 1 as int) as driver_number",
+    remainder = source("supplier").withColumn("entry", F.expr(f"s_suppkey % {DRIVERS}"))
+    # at most one row for each of the entries of a session
+    suppliers = F.broadcast(first_per_key(remainder, ["entry"], [F.col("s_suppkey")]))
+    return entries.join(suppliers, F.col("number") == F.col("entry")).selectExpr(
+        "cast(entry + 1 as int) as driver_number",
         "session_key",
         "upper(s_name) as broadcast_name",
-        """case when s_suppkey = 7 and session_key % 5 = 0 then null
+        """case when entry = 7 and session_key % 5 = 0 then null
                 else concat('  ', s_name, ' ') end as full_name""",
-        """case when s_suppkey = 9 then null
-                else concat('D', lpad(cast(s_suppkey + 1 as string), 2, '0')) end as name_acronym""",
-        """case when s_suppkey = 3 and session_key % 7 = 0 then '   '
+        """case when entry = 9 then null
+                else concat('D', lpad(cast(entry + 1 as string), 2, '0')) end as name_acronym""",
+        """case when entry = 3 and session_key % 7 = 0 then '   '
                 else concat('TEAM_', cast(s_nationkey % 10 as string), ' ') end as team_name""",
         "lpad(cast(s_nationkey * 1111 as string), 6, '0') as team_colour",
-        """case when s_suppkey % 4 = 0 then null
+        """case when entry % 4 = 0 then null
                 else concat('C', cast(s_nationkey as string)) end as country_code""",
-        "concat('img/', cast(s_suppkey as string)) as headshot_url",
+        "concat('img/', cast(entry as string)) as headshot_url",
     )
 
 
@@ -103,7 +107,7 @@ def _timing_events(source: Source) -> DataFrame:
     times_sent = F.when(F.col("event_id") % 9 == 0, F.array(F.lit(0), F.lit(1)))
     return (
         events.withColumn("resent", F.explode(F.coalesce(times_sent, F.array(F.lit(0)))))
-        .withColumn("id", F.col("event_id") + F.col("resent") * 10_000_000)
+        .withColumn("id", F.col("event_id") * 2 + F.col("resent"))
         .withColumn("value", F.col("value") + F.col("resent"))
     )
 
