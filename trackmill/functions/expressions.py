@@ -67,12 +67,16 @@ def utc_timestamp(text: Column) -> Column:
         .when(has_time & has_zone, text)
         .when(has_time, F.concat(text, F.lit("Z")))
         .otherwise(F.concat(text, F.lit(" 00:00:00Z")))
-        .cast("timestamp")
+        .try_cast("timestamp")
     )
+    refusal = F.raise_error(F.concat(F.lit("not a timestamp: "), text)).cast("timestamp")
+    instant = F.when(text.isNull() | (text == "") | instant.isNotNull(), instant).otherwise(refusal)
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     return F.timestamp_add("MICROSECOND", F.unix_micros(instant), epoch)
 
 
 def truth(text: Column) -> Column:
     """Text of a JSON number or boolean as a flag: non-zero is true, NULL stays NULL."""
-    return F.coalesce(text.try_cast("double") != 0, text.cast("boolean"))
+    flag = F.coalesce(text.try_cast("double") != 0, text.try_cast("boolean"))
+    refusal = F.raise_error(F.concat(F.lit("not a number or flag: "), text)).cast("boolean")
+    return F.when(text.isNull() | flag.isNotNull(), flag).otherwise(refusal)

@@ -23,7 +23,8 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -
 def least(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """Per key the smallest tuple of ``columns``, compared left to right.
 
-    An aggregate needs no full sort of the rows and carries only the named columns.
+    Reduced on the map side and with the named columns alone. A buffer of several columns is of no
+    fixed width, so Spark aggregates by sorting each task's rows before the shuffle.
     """
     best = F.min(F.struct(*columns)).alias("_best")
     return df.groupBy(*keys).agg(best).select(*keys, *[F.col(f"_best.{c}") for c in columns])
