@@ -36,6 +36,18 @@ def utf8(texts: pa.ChunkedArray | pa.Array) -> Iterator[bytes]:
         yield text.as_buffer().to_pybytes() if text.is_valid else b""
 
 
+def slices(batches: Iterator[pa.RecordBatch], most_bytes: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches with about ``most_bytes`` of text, one text at least."""
+    for rows in batches:
+        ends = np.cumsum([len(t.as_buffer()) if t.is_valid else 0 for t in rows["text"]])
+        low = 0
+        while low < rows.num_rows:
+            before = ends[low - 1] if low else 0
+            high = max(low + 1, int(np.searchsorted(ends, before + most_bytes, "right")))
+            yield rows.slice(low, high - low)
+            low = high
+
+
 def pack(values: np.ndarray, kind: str = "<u8") -> bytes:
     return np.ascontiguousarray(values).astype(kind, copy=False).tobytes()
 

@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from trackmill.llm.common import batch, pack, partitions, stored, table, unpack, utf8
+from trackmill.llm.common import batch, pack, partitions, slices, stored, table, unpack, utf8
 from trackmill.llm.ngram_join import _dealt, _Given, sql
 from trackmill.llm.shingles import ShingleSets
 
@@ -79,7 +79,7 @@ SKETCH = pa.schema([("block", pa.int64()), ("cells", pa.binary()), ("counts", pa
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     cells = np.zeros(CELLS, dtype=np.int64)
-    for rows in batches:
+    for rows in slices(batches):
         lines = Lines(rows["doc_id"].to_pylist(), list(utf8(rows["text"])))
         chosen = np.zeros(len(lines.name), dtype=bool)
         chosen[lines.earliest()] = True
@@ -171,7 +171,7 @@ def _entries(lines: Lines, chosen: np.ndarray, rank: np.ndarray, buckets: int) -
 
 def _send_entries(rank: np.ndarray, buckets: int):
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in batches:
+        for rows in slices(batches):
             lines = Lines(rows["doc_id"].to_pylist(), list(utf8(rows["text"])))
             chosen = np.zeros(len(lines.name), dtype=bool)
             chosen[lines.earliest()] = True
@@ -283,13 +283,13 @@ SETS = pa.schema([("name", pa.int64()), ("words", pa.binary())])
 
 
 def _list_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for rows in batches:
+    for rows in slices(batches):
         lines = Lines(rows["doc_id"].to_pylist(), list(utf8(rows["text"])))
         yield batch(LINES, doc_id=lines.id, line=lines.number, name=lines.name.view(np.int64))
 
 
 def _wanted_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for rows in batches:
+    for rows in slices(batches):
         lines = Lines(rows["doc_id"].to_pylist(), list(utf8(rows["text"])))
         names = [np.array(n, dtype=np.int64).view(np.uint64) for n in rows["names"].to_pylist()]
         wanted = np.concatenate([np.zeros(0, np.uint64), *names])

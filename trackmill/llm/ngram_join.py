@@ -14,9 +14,9 @@ signature is the content of one segment of one set:
 Sets left after this are the ones with near relatives, and they are many to a list in a group of
 copies. Instead of all pairs of a list, each set is verified against the list's best connected
 set, its hub. Two sets that agree with the hub are connected. If one does not, two linked sets must
-share a shingle that the hub lacks, or differ from the hub by so few that sizes tell (see
-``_by_sizes``); so sets that share such a shingle are the next, smaller lists. This ends as every
-list loses its hub, and no link between two components is lost.
+share a shingle that the list's centre lacks, or lie so near the centre that sizes tell (see
+``_by_sizes``); so sets of different components that share such a shingle are the next, smaller
+lists. This ends as lists shrink, and no link between two components is lost.
 
 Copies (equal sets) are one set throughout. Defined results: a text without words, empty or null is
 linked with nothing and is its own component; a null doc_id takes no part in links and keeps a null
@@ -32,10 +32,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from trackmill.llm.common import batch, pack, partitions, stored, table, unpack, utf8
+from trackmill.llm.common import batch, pack, partitions, slices, stored, table, unpack, utf8
 from trackmill.llm.components import components
 from trackmill.llm.shingles import ShingleSets, mix
 
+#: Lists of so many sets are verified pair by pair.
+SMALL = 16
+
 #: 100 * intersection >= 80 * union, and what follows from it.
 LINK, OF = 80, 100
 
@@ -123,7 +126,7 @@ def sql(schema: pa.Schema) -> str:
 
 
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for rows in batches:
+    for rows in slices(batches):
         sets = ShingleSets(list(utf8(rows["text"])))
         yield batch(
             SETS,
@@ -146,7 +149,7 @@ def _dealt(keys: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
 def _send_lists(buckets: int):
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(0, dtype=np.uint64)
-        for rows in batches:
+        for rows in slices(batches):
             sets = ShingleSets(list(utf8(rows["text"])))
             names = sets.sums(1)
             signatures = Signatures(sets)
@@ -229,23 +232,29 @@ def _choose_active(rows: pa.Table) -> pa.Table:
 # --- candidates, hubs and links ------------------------------------------------------------------
 
 MEMBERS = pa.schema([("doc_id", pa.int64()), ("degree", pa.int64()), ("shingles", pa.binary())])
+SPREAD = pa.schema([("bucket", pa.int64()), ("docs", pa.binary()), ("hashes", pa.binary())])
+COUNTED = pa.schema([("home", pa.int64()), ("docs", pa.binary()), ("hashes", pa.binary()), ("counts", pa.binary())])
+RANKED = pa.schema([*MEMBERS, ("counts", pa.binary())])
 HOMES = pa.schema([("bucket", pa.int64()), ("docs", pa.binary()), ("degrees", pa.binary()), ("hashes", pa.binary())])
 PAIRS = pa.schema([("doc_id", pa.int64()), ("hub", pa.int64())])
 VERIFIED = pa.schema(
+    [("g", pa.int64()), ("doc_id", pa.int64()), ("hub", pa.int64()), ("linked", pa.bool_()), ("added", pa.list_(pa.int64()))]
+)
+DESCRIBED = pa.schema(
     [
+        ("g", pa.int64()),
         ("doc_id", pa.int64()),
-        ("hub", pa.int64()),
         ("n", pa.int64()),
-        ("n_hub", pa.int64()),
         ("n_added", pa.int64()),
-        ("linked", pa.bool_()),
+        ("n_lost", pa.int64()),
+        ("n_alone", pa.int64()),
         ("added", pa.list_(pa.int64())),
     ]
 )
 
 
 def _sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for rows in batches:
+    for rows in slices(batches):
         sets = ShingleSets(list(utf8(rows["text"])))
         yield batch(
             MEMBERS,
@@ -255,6 +264,76 @@ def _sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _spread(buckets: int):
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in (b.slice(low, 1000) for b in batches for low in range(0, b.num_rows, 1000)):
+            sets = _Given(rows["shingles"].to_pylist())
+            ids = np.array(rows["doc_id"].to_numpy(zero_copy_only=False))[sets.owner]
+            for bucket, part in _dealt(sets.hashes, buckets):
+                yield batch(SPREAD, bucket=[bucket], docs=[pack(ids[part], "<i8")], hashes=[pack(sets.hashes[part])])
+
+    return send
+
+
+def _count_sets(buckets: int):
+    """In a bucket: how many sets have each shingle, up to 255, told to the sets."""
+
+    def count(rows: pa.Table) -> pa.Table:
+        docs = np.concatenate([unpack(x, "<i8") for x in rows["docs"].to_pylist()])
+        h = np.concatenate([unpack(x) for x in rows["hashes"].to_pylist()])
+        _, which, many = np.unique(h, return_inverse=True, return_counts=True)
+        counts = np.minimum(many, 255).astype(np.uint8)[which]
+        found = [
+            {"home": k, "docs": pack(docs[part], "<i8"), "hashes": pack(h[part]), "counts": counts[part].tobytes()}
+            for k, part in _dealt(mix(docs.view(np.uint64)), buckets)
+        ]
+        return pa.Table.from_pylist(found, schema=COUNTED)
+
+    return count
+
+
+def _rank_shingles(key, members: pa.Table, told: pa.Table) -> pa.Table:
+    """The sets that can be linked at all, with the counts of their shingles.
+
+    Linked sets share four fifths of each, so one of more than a fifth of shingles that nothing else
+    has is linked with nothing.
+    """
+    if not (members.num_rows and told.num_rows):
+        return RANKED.empty_table()
+    docs, h, counts = (
+        np.concatenate([unpack(x, kind) for x in told[name].to_pylist()])
+        for name, kind in (("docs", "<i8"), ("hashes", "<u8"), ("counts", "u1"))
+    )
+    order = np.lexsort((h, docs))
+    docs, h, counts = docs[order], h[order], counts[order]
+    out = {name: [] for name in RANKED.names}
+    for row in members.select(MEMBERS.names).to_pylist():
+        low, high = np.searchsorted(docs, [row["doc_id"], row["doc_id"] + 1])
+        own = counts[low:high][np.searchsorted(h[low:high], unpack(row["shingles"]))]
+        if OF * (own == 1).sum() <= (OF - LINK) * len(own):
+            for name in MEMBERS.names:
+                out[name].append(row[name])
+            out["counts"].append(own.tobytes())
+    return pa.table(out, schema=RANKED)
+
+
+def _ranked(members: DataFrame, buckets: int) -> DataFrame:
+    told = (
+        members.mapInArrow(_spread(buckets), sql(SPREAD))
+        .groupBy("bucket")
+        .applyInArrow(_count_sets(buckets), sql(COUNTED))
+    )
+
+    def homes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            ids = np.array(rows["doc_id"].to_numpy(zero_copy_only=False))
+            home = (mix(ids.view(np.uint64)) >> np.uint64(17)) % np.uint64(buckets)
+            yield rows.append_column("home", pa.array(home.astype(np.int64)))
+
+    at_home = members.select(*MEMBERS.names).mapInArrow(homes, f"{sql(MEMBERS)}, home long")
+    return stored(at_home.groupBy("home").cogroup(told.groupBy("home")).applyInArrow(_rank_shingles, sql(RANKED)))
+
+
 class _Given(ShingleSets):
     """Sets that are at hand."""
 
@@ -268,7 +347,7 @@ class _Given(ShingleSets):
 
 def _send_members(buckets: int):
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in batches:
+        for rows in (b.slice(low, 1000) for b in batches for low in range(0, b.num_rows, 1000)):
             signatures = Signatures(_Given(rows["shingles"].to_pylist()))
             ids, degree = (np.array(rows[c].to_numpy(zero_copy_only=False)) for c in ("doc_id", "degree"))
             for bucket, part in _dealt(signatures.hash, buckets):
@@ -298,91 +377,160 @@ def _pair_with_hubs(rows: pa.Table) -> pa.Table:
     return pa.table({"doc_id": pairs[:, 0], "hub": pairs[:, 1]}, schema=PAIRS)
 
 
-def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Whether a set is linked with its hub, and the first of the shingles that the hub lacks.
+def _lacking(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The shingles of ``a`` that ``b`` lacks; both ascend."""
+    return a[b[np.minimum(np.searchsorted(b, a), len(b) - 1)] != a]
 
-    Linked sets lack at most a fifth of each other's shingles, so two of them that share any of
-    those share one of this many, in the order of hashes.
-    """
+
+def _first_of(a: np.ndarray, counts: np.ndarray, lacking: np.ndarray) -> np.ndarray:
+    """Linked sets lack at most a fifth of each other's shingles. So two of them that share any of
+    those that a third set lacks share one of this many, in the order of counts and hashes; and
+    none that only one set has."""
+    own = counts[np.searchsorted(a, lacking)]
+    order = np.lexsort((lacking, own))[: len(a) * (OF - LINK) // OF + 1]
+    return lacking[order[own[order] > 1]].view(np.int64)
+
+
+def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Whether a set is linked with a hub, and shingles that the hub lacks."""
     for rows in batches:
-        out = {name: [] for name in VERIFIED.names}
-        for doc, hub, a, b in zip(*(rows[c].to_pylist() for c in ("doc_id", "hub", "shingles", "hub_shingles"))):
+        linked, first = [], []
+        for a, n, b in zip(*(rows[c].to_pylist() for c in ("shingles", "counts", "hub_shingles"))):
             a, b = unpack(a), unpack(b)
-            at = np.minimum(np.searchsorted(b, a), len(b) - 1)
-            added = a[b[at] != a]
+            added = _lacking(a, b)
             common = len(a) - len(added)
-            values = (
-                doc, hub, len(a), len(b), len(added),
-                OF * common >= LINK * (len(a) + len(b) - common),
-                added[: len(a) * (OF - LINK) // OF + 1].view(np.int64),
-            )
-            for name, value in zip(VERIFIED.names, values):
-                out[name].append(value)
-        yield batch(VERIFIED, **out)
-
-
-def _by_sizes(verified: DataFrame) -> DataFrame:
-    """Pairs around a hub that can be linked without sharing a shingle that the hub lacks.
-
-    With a and b shingles added to and missing from the hub, such sets differ in at least
-    a1 + a2 + |b1 - b2|. As one is not linked with the hub, this can only be few enough if one of
-    the two is smaller than the hub, and then by little more than the border.
+            linked.append(OF * common >= LINK * (len(a) + len(b) - common))
+            first.append(_first_of(a, unpack(n, "u1"), added))
+        yield batch(VERIFIED, g=rows["g"], doc_id=rows["doc_id"], hub=rows["hub"], linked=linked, added=first)
+
+
+def _describe_from_centre(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How a set differs from its group's centre: the hub with the shingles that most sets add."""
+    for rows in batches:
+        found = []
+        for a, n, b, common in zip(*(rows[c].to_pylist() for c in ("shingles", "counts", "hub_shingles", "common"))):
+            a, b, n = unpack(a), unpack(b), unpack(n, "u1")
+            centre = np.union1d(b, np.array(common or [], dtype=np.int64).view(np.uint64))
+            added = _lacking(a, centre)
+            found.append(
+                (len(a), len(added), len(centre) - len(a) + len(added), int((n == 1).sum()), _first_of(a, n, added))
+            )
+        n, n_added, n_lost, n_alone, first = zip(*found) if found else ([], [], [], [], [])
+        yield batch(
+            DESCRIBED, g=rows["g"], doc_id=rows["doc_id"], n=n, n_added=n_added, n_lost=n_lost, n_alone=n_alone,
+            added=list(first),
+        )
+
+
+def _by_sizes(described: DataFrame) -> DataFrame:
+    """Pairs of a group that can be linked without sharing a shingle that its centre lacks.
+
+    With a and b shingles added to and missing from the centre, such sets differ in at least
+    a1 + a2 + |b1 - b2|, so both lie about as near the centre as linked sets do. Those are
+    connected through the hubs but for a few at the border.
     """
-    r = verified.select("hub", "n_hub", "linked", "doc_id", "n", "n_added")
-    r = r.withColumn("n_lost", F.expr("n_hub - n + n_added"))
-    s = r.select("hub", *[F.col(c).alias(f"{c}_2") for c in ("doc_id", "n", "n_added", "n_lost")])
-    near = r.filter(~F.col("linked") & F.expr("8 * n_added + 2 * n_lost <= 2 * n_hub"))
-    close = F.expr(f"{OF + LINK} * (n_added + n_added_2 + abs(n_lost - n_lost_2)) <= {OF - LINK} * (n + n_2)")
-    smaller = F.expr("least(n, n_2) < n_hub and doc_id <> doc_id_2")
-    return near.join(s, (near["hub"] == s["hub"]) & close & smaller).select(
-        F.greatest("doc_id", "doc_id_2").alias("doc_id"), F.least("doc_id", "doc_id_2").alias("hub")
-    )
+    r = described.select("g", "doc_id", "n", "n_added", "n_lost", "component")
+    r = r.filter(f"{OF + LINK} * n_added <= {OF - LINK} * (n + n * {OF} div {LINK})")
+    s = r.select(F.col("g").alias("g_2"), *[F.col(c).alias(f"{c}_2") for c in r.columns[1:]])
+    close = f"{OF + LINK} * (n_added + n_added_2 + abs(n_lost - n_lost_2)) <= {OF - LINK} * (n + n_2)"
+    pairs = r.join(s, F.expr(f"g = g_2 and component < component_2 and {close}"))
+    return pairs.select("doc_id", F.col("doc_id_2").alias("hub")).distinct()
+
+
+def _pairs_of_small(lists: DataFrame) -> DataFrame:
+    """Pairs of different components in lists of at most SMALL sets, if sizes and the shingles that
+    only one set has allow a link."""
+    r = lists.select("g", "doc_id", "n", "n_alone", "component")
+    s = r.select(F.col("g").alias("g_2"), *[F.col(c).alias(f"{c}_2") for c in r.columns[1:]])
+    able = f"{OF + LINK} * greatest(n_alone + n_alone_2, abs(n - n_2)) <= {OF - LINK} * (n + n_2)"
+    pairs = r.join(s, F.expr(f"g = g_2 and component < component_2 and {able}"))
+    return pairs.select("doc_id", F.col("doc_id_2").alias("hub")).distinct()
 
 
 def _links(members: DataFrame, buckets: int) -> DataFrame:
-    """a, b: verified links that connect every component of the sets in ``members``."""
-    left = members.select("doc_id", "shingles")
+    """a, b: verified links that connect every component of the sets in ``members``.
+
+    A group is a list of sets with a hub. Round by round: verify the sets against the hub, and
+    against the set nearest the group's centre; then, only where a group holds several components,
+    verify the pairs that sizes leave open, and make groups of the sets that share a shingle the
+    centre lacks.
+    """
+    sets = members.select("doc_id", "shingles", "counts")
     hubs = members.select(F.col("doc_id").alias("hub"), F.col("shingles").alias("hub_shingles"))
     degrees = members.select("doc_id", "degree")
 
-    def verified(pairs: DataFrame) -> DataFrame:
-        rows = pairs.join(hubs, "hub").join(left, "doc_id").select("doc_id", "hub", "shingles", "hub_shingles")
+    def with_sets(rows: DataFrame) -> DataFrame:
+        return rows.join(hubs, "hub").join(sets, "doc_id")
+
+    def verified(rows: DataFrame) -> DataFrame:
+        rows = with_sets(rows.filter("doc_id <> hub")).select("g", "doc_id", "hub", "shingles", "counts", "hub_shingles")
         return stored(rows.mapInArrow(_verify, sql(VERIFIED)))
 
+    def linked(rows: DataFrame) -> DataFrame:
+        return rows.filter("linked").select(F.col("doc_id").alias("a"), F.col("hub").alias("b"))
+
     pairs = (
         members.mapInArrow(_send_members(buckets), sql(HOMES))
         .groupBy("bucket")
         .applyInArrow(_pair_with_hubs, sql(PAIRS))
         .distinct()
     )
-    done = verified(pairs)
-    by_sizes = _by_sizes(done)
-    new = done
+    rows = pairs.select(F.col("hub").alias("g"), "doc_id", "hub")
+    links = None
     while True:
-        # sets of a hub by the shingles that the hub lacks; lists without an unlinked set are settled
-        around = done.join(new.select("hub").distinct(), "hub", "left_semi")
-        lists = around.select("doc_id", "linked", F.xxhash64("hub").alias("of"), F.explode("added").alias("token"))
-        lists = lists.select("doc_id", "linked", F.xxhash64("of", "token").alias("list")).join(degrees, "doc_id")
+        met = verified(rows)
+        links = linked(met) if links is None else links.unionAll(linked(met))
+        # groups of three sets or more that the hub does not settle
+        groups = (
+            met.groupBy("g", "hub")
+            .agg(F.count("*").alias("many"), F.bool_and("linked").alias("settled"))
+            .filter("many > 1 and not settled")
+            .select("g", "hub", "many")
+        )
+        usual = met.select("g", F.explode("added").alias("token")).groupBy("g", "token").count()
+        usual = usual.join(groups, "g").filter("2 * count > many").groupBy("g").agg(F.collect_list("token").alias("common"))
+        inside = met.select("g", "doc_id").unionAll(groups.select("g", F.col("hub").alias("doc_id")))
+        inside = with_sets(inside.join(groups.select("g", "hub").join(usual, "g", "left"), "g"))
+        described = stored(
+            inside.select("g", "doc_id", "shingles", "counts", "hub_shingles", "common").mapInArrow(_describe_from_centre, sql(DESCRIBED))
+        )
+        if described.isEmpty():
+            return links
+        nearest = described.groupBy("g").agg(F.min(F.struct(F.expr("n_added + n_lost"), "doc_id")).alias("best"))
+        nearest = nearest.select("g", F.col("best.doc_id").alias("hub"))
+        again = described.select("g", "doc_id").join(nearest, "g").select("doc_id", "hub").distinct()
+        again = again.join(met.select("doc_id", "hub"), ["doc_id", "hub"], "left_anti")
+        links = links.unionAll(linked(verified(again.select(F.lit(0).cast("long").alias("g"), "doc_id", "hub"))))
+        found = components(links)
+        described = described.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+        described = described.withColumn("component", F.coalesce("component", "doc_id"))
+        mixed = described.groupBy("g").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        described = stored(described.join(mixed.filter("low <> high").select("g"), "g", "left_semi"))
+        close = _by_sizes(described)
+        links = links.unionAll(linked(verified(close.select(F.lit(0).cast("long").alias("g"), "doc_id", "hub"))))
+        lists = described.select("*", F.explode("added").alias("token")).drop("added")
+        lists = lists.withColumn("g", F.xxhash64("g", "token"))
         best = (
-            lists.groupBy("list")
+            lists.join(degrees, "doc_id")
+            .groupBy("g")
             .agg(
-                F.max(F.struct("degree", F.negate("doc_id").alias("last"))).alias("best"),
                 F.count("*").alias("many"),
-                F.bool_and("linked").alias("settled"),
+                F.max(F.struct("degree", F.negate("doc_id").alias("last"))).alias("best"),
+                F.min("component").alias("low"),
+                F.max("component").alias("high"),
+                F.sum(F.xxhash64("doc_id").cast("decimal(38,0)")).alias("members"),
             )
-            .filter("many > 1 and not settled")
-            .select("list", F.expr("-best.last").alias("hub"))
+            .filter("low <> high")
+            .select("g", "members", "many", F.expr("-best.last").alias("hub"))
+            # lists of the same sets are one group
+            .groupBy("members", "hub", "many")
+            .agg(F.min("g").alias("g"))
+            .select("g", "hub", "many")
         )
-        pairs = lists.select("doc_id", "list").join(best, "list").select("doc_id", "hub").filter("doc_id <> hub").distinct()
-        known = done.select("doc_id", "hub")
-        fresh = verified(pairs.join(known, ["doc_id", "hub"], "left_anti"))
-        if fresh.isEmpty():
-            break
-        by_sizes = by_sizes.unionAll(_by_sizes(fresh))
-        done, new = done.unionAll(fresh), fresh
-    known = done.select("doc_id", "hub")
-    last = verified(by_sizes.distinct().join(known, ["doc_id", "hub"], "left_anti"))
-    return done.unionAll(last).filter("linked").select(F.col("doc_id").alias("a"), F.col("hub").alias("b"))
+        found_lists = stored(lists.select("g", "doc_id", "n", "n_alone", "component").join(best, "g"))
+        few = _pairs_of_small(found_lists.filter(F.col("many") <= SMALL))
+        links = links.unionAll(linked(verified(few.select(F.lit(0).cast("long").alias("g"), "doc_id", "hub"))))
+        rows = found_lists.filter(F.col("many") > SMALL).select("g", "doc_id", "hub")
 
 
 def join_similar(docs: DataFrame) -> DataFrame:
@@ -405,11 +553,9 @@ def join_similar(docs: DataFrame) -> DataFrame:
         .applyInArrow(_choose_active, sql(ACTIVE))
     )
     chosen = classes.join(active, "low").groupBy("rep").agg(F.max("degree").alias("degree"))
-    members = stored(
-        texts.join(chosen, F.col("doc_id") == F.col("rep"))
-        .select("doc_id", "degree", "text")
-        .mapInArrow(_sets_of, sql(MEMBERS))
-    )
+    members = texts.join(chosen, F.col("doc_id") == F.col("rep")).select("doc_id", "degree", "text")
+    members = stored(members.mapInArrow(_sets_of, sql(MEMBERS)))
+    members = _ranked(_ranked(members, buckets), buckets)  # what went makes other shingles unique
     same = sets.join(classes, ["low", "high"]).select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     edges = _links(members, buckets).unionAll(same.filter("a <> b"))
     found = components(edges)

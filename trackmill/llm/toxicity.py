@@ -32,7 +32,7 @@ from trackmill.llm.quality import held_out, learnable
 from trackmill.llm.shingles import lowered, span_hashes, word_spans
 
 #: Bound on the labelled rows that the driver fits on.
-MOST_LABELLED = 8_000
+MOST_LABELLED = 3_000
 THRESHOLD = 0.3
 LANDMARKS = 24
 SHORTEST, LONGEST = 4, 7
@@ -107,14 +107,15 @@ def choose_landmarks(texts: list[set[str]], toxic: np.ndarray, most: int = LANDM
     least = max(2, int(toxic.sum()) // 200)
     seen = Counter(g for words in (t for t, y in zip(texts, toxic) if y) for g in set().union(*map(_grams, words), ()))
     wanted = {g for g, n in seen.items() if n >= least}
-    of_word: dict[str, set[str]] = {}
+    none: frozenset[str] = frozenset()
+    of_word: dict[str, frozenset[str]] = {}
     where: dict[str, set[int]] = {g: set() for g in wanted}
     clean: Counter = Counter()
     for i, words in enumerate(texts):
         held: set[str] = set()
         for word in words:
             if word not in of_word:
-                of_word[word] = _grams(word) & wanted
+                of_word[word] = frozenset(_grams(word) & wanted) or none
             held |= of_word[word]
         if toxic[i]:
             for g in held:
@@ -208,7 +209,7 @@ def train(texts: list[set[str]], y: np.ndarray) -> Machine:
 
 def _word_sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for rows in batches:
-        words = [sorted({w.lower() for w in t.split()}) if t else [] for t in rows["text"]]
+        words = [" ".join(sorted({w.lower() for w in t.split()})) if t else "" for t in rows["text"]]
         yield pd.DataFrame({"label": rows["label"], "words": words})
 
 
@@ -220,12 +221,13 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> Machin
         .join(sample, "doc_id")
         .dropDuplicates(["doc_id"])
         .select("label", "text")
-        .mapInPandas(_word_sets, "label int, words array<string>")
+        .mapInPandas(_word_sets, "label int, words string")
         .toPandas()
     )
-    texts = [tuple(w) for w in rows["words"]]
-    order = sorted(range(len(texts)), key=lambda i: (rows["label"][i], texts[i]))
-    return train([set(texts[i]) for i in order], rows["label"].to_numpy(dtype=float)[order])
+    rows = rows.sort_values(["label", "words"])
+    spelled: dict[str, str] = {}  # every word once in memory
+    texts = [{spelled.setdefault(w, w) for w in words.split()} for words in rows["words"]]
+    return train(texts, rows["label"].to_numpy(dtype=float))
 
 
 class Describer:
