@@ -28,7 +28,7 @@ def test_kernel_counts_gapped_runs():
     expected = [[plain_kernel(w, m, 0.6) for m in landmarks] for w in words]
     np.testing.assert_allclose(toxicity.kernel(words, landmarks), expected, atol=1e-6)
     near = toxicity.similarities(["idiot", "id1iot", "xx" * 40 + "idiot" + "y" * 30, "table"], ["idiot"])[:, 0]
-    assert near[0] == near[2] == 1 and 0.5 < near[1] < 1 and near[3] == 0
+    assert near[0] == near[2] == 1 and 0.2 < near[1] < 1 and near[3] == 0
 
 
 def toxic_texts(n=400):

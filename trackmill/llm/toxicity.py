@@ -32,9 +32,9 @@ from trackmill.llm.quality import held_out, learnable
 from trackmill.llm.shingles import lowered, span_hashes, word_spans
 
 #: Bound on the labelled rows that the driver fits on.
-MOST_LABELLED = 3_000
+MOST_LABELLED = 4_000
 THRESHOLD = 0.3
-LANDMARKS = 24
+LANDMARKS = 32
 SHORTEST, LONGEST = 4, 7
 DECAY = 0.6
 #: Landmarks that a toxic text should hold; texts with fewer call for more.
@@ -81,7 +81,7 @@ def kernel(words: list[str], landmarks: list[str], decay: float = DECAY) -> np.n
 
 
 def similarities(words: list[str], landmarks: list[str]) -> np.ndarray:
-    """Kernel values as shares of each landmark's own; long words by overlapping windows."""
+    """Third powers of kernel values as shares of each landmark's own; long words by windows."""
     own = np.diag(kernel(landmarks, landmarks)) if landmarks else np.zeros(0)
     out = np.zeros((len(words), len(landmarks)), dtype=np.float32)
     parts, whose = [], []
@@ -95,7 +95,8 @@ def similarities(words: list[str], landmarks: list[str]) -> np.ndarray:
         found = kernel([parts[k] for k in some], landmarks) / own
         np.maximum.at(out, np.array([whose[k] for k in some]), found)
     out[out < FAINT] = 0
-    return out
+    # the third power, a kernel as well, tells whole matches from parts
+    return np.minimum(out, 1) ** 3
 
 
 def _grams(word: str) -> set[str]:
@@ -200,7 +201,7 @@ def train(texts: list[set[str]], y: np.ndarray) -> Machine:
     # Nyström: the space in which the landmarks' kernel is an inner product
     gram = kernel(landmarks, landmarks).astype(np.float64)
     scale = np.sqrt(np.diag(gram))
-    size, turn = np.linalg.eigh(gram / scale[:, None] / scale + 0.05 * np.eye(len(landmarks)))
+    size, turn = np.linalg.eigh((gram / scale[:, None] / scale) ** 3 + 0.05 * np.eye(len(landmarks)))
     into = turn @ np.diag(size**-0.5) @ turn.T
     w, b = _separate(x @ into, y)
     a, c = _calibrate((x @ into) @ w + b, y)
