@@ -476,10 +476,10 @@ def _links(members: DataFrame, buckets: int) -> DataFrame:
         .distinct()
     )
     rows = pairs.select(F.col("hub").alias("g"), "doc_id", "hub")
-    links = None
+    links, found, unseen = members.select(F.col("doc_id").alias("a"), F.col("doc_id").alias("b")).limit(0), None, 0
     while True:
         met = verified(rows)
-        links = linked(met) if links is None else links.unionAll(linked(met))
+        links, unseen = links.unionAll(linked(met)), unseen + linked(met).count()
         # groups of three sets or more that the hub does not settle
         groups = (
             met.groupBy("g", "hub")
@@ -500,14 +500,17 @@ def _links(members: DataFrame, buckets: int) -> DataFrame:
         nearest = nearest.select("g", F.col("best.doc_id").alias("hub"))
         again = described.select("g", "doc_id").join(nearest, "g").select("doc_id", "hub").distinct()
         again = again.join(met.select("doc_id", "hub"), ["doc_id", "hub"], "left_anti")
-        links = links.unionAll(linked(verified(again.select(F.lit(0).cast("long").alias("g"), "doc_id", "hub"))))
-        found = components(links)
+        new = linked(verified(again.select(F.lit(0).cast("long").alias("g"), "doc_id", "hub")))
+        links, unseen = links.unionAll(new), unseen + new.count()
+        if found is None or unseen:  # else the components are those of the last round
+            found, unseen = components(links), 0
         described = described.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left")
         described = described.withColumn("component", F.coalesce("component", "doc_id"))
         mixed = described.groupBy("g").agg(F.min("component").alias("low"), F.max("component").alias("high"))
         described = stored(described.join(mixed.filter("low <> high").select("g"), "g", "left_semi"))
         close = _by_sizes(described)
-        links = links.unionAll(linked(verified(close.select(F.lit(0).cast("long").alias("g"), "doc_id", "hub"))))
+        new = linked(verified(close.select(F.lit(0).cast("long").alias("g"), "doc_id", "hub")))
+        links, unseen = links.unionAll(new), unseen + new.count()
         lists = described.select("*", F.explode("added").alias("token")).drop("added")
         lists = lists.withColumn("g", F.xxhash64("g", "token"))
         best = (
@@ -529,7 +532,8 @@ def _links(members: DataFrame, buckets: int) -> DataFrame:
         )
         found_lists = stored(lists.select("g", "doc_id", "n", "n_alone", "component").join(best, "g"))
         few = _pairs_of_small(found_lists.filter(F.col("many") <= SMALL))
-        links = links.unionAll(linked(verified(few.select(F.lit(0).cast("long").alias("g"), "doc_id", "hub"))))
+        new = linked(verified(few.select(F.lit(0).cast("long").alias("g"), "doc_id", "hub")))
+        links, unseen = links.unionAll(new), unseen + new.count()
         rows = found_lists.filter(F.col("many") > SMALL).select("g", "doc_id", "hub")
 
 
