@@ -1,5 +1,6 @@
 """Piece-wise encoding, wavelet shards and packing: exact against the tokenizers library."""
 
+import itertools
 import random
 import zlib
 
@@ -163,3 +164,47 @@ def test_search_is_near_the_fewest():
         worse += plan.sequences - fewest(lengths, 100)
     assert 0 <= worse <= 2
     assert search(np.zeros(101, dtype=int), 100) == Plan()
+
+
+def plain_undominated(counts, largest, capacity):
+    """Every filling, and of these the ones that no swap of some pieces for a longer one betters."""
+    left = {n: int(c) - (n == largest) for n, c in enumerate(counts) if n and c > (n == largest)}
+    room = capacity - largest
+    kinds = [[n] * min(left[n], room // n) for n in left]
+    fillings = {f for f in itertools.product(*[range(len(k) + 1) for k in kinds])}
+    kept = set()
+    for f in fillings:
+        pieces = [n for n, k in zip(left, f) for _ in range(k)]
+        if sum(pieces) > room:
+            continue
+        subsets = {c for k in range(len(pieces) + 1) for c in itertools.combinations(pieces, k)}
+        unused = [n for n, k in zip(left, f) if k < left[n]]
+        if not any(sum(c) <= x <= sum(c) + room - sum(pieces) and c != (x,) for c in subsets for x in unused):
+            kept.add(tuple(sorted([largest, *pieces], reverse=True)))
+    return kept
+
+
+def test_all_undominated_fillings_are_tried():
+    rng = random.Random(3)
+    for _ in range(60):
+        counts = np.bincount([rng.randrange(3, 30) for _ in range(9)], minlength=61)
+        largest = int(np.flatnonzero(counts)[-1])
+        found = list(packing.Completions(counts, largest, 60).fillings(lambda total: True))
+        found = [tuple(n for n, k in f for _ in range(k)) for f in found if f]
+        assert len(found) == len(set(found))
+        assert set(found) == plain_undominated(counts, largest, 60)
+        assert [sum(f) for f in found] == sorted(map(sum, found), reverse=True)
+
+
+def test_large_groups_of_equal_lengths_leave_no_room():
+    counts = np.zeros(2049, dtype=int)
+    counts[600], counts[362] = 1000, 4000
+    assert search(counts) == Plan([(((600, 1), (362, 4)), 1000)])
+
+
+def test_search_finds_the_fewest_of_groups():
+    rng = random.Random(5)
+    for _ in range(40):
+        kinds = [rng.randrange(8, 60) for _ in range(4)]
+        lengths = [n for n in kinds for _ in range(rng.randrange(1, 4))]
+        assert search(np.bincount(lengths, minlength=101), 100).sequences == fewest(lengths, 100)

@@ -13,7 +13,8 @@ are ignored.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from bisect import bisect_right
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -93,54 +94,99 @@ def best_fit_filling(counts: np.ndarray, largest: int, capacity: int) -> list[in
     return lengths
 
 
-def completions(counts: np.ndarray, largest: int, capacity: int, most: int = 3) -> list[Filling]:
-    """Undominated fillings around the largest piece, the fullest first.
+def _smeared(bits: int, by: int) -> int:
+    """``bits``, each moved up by 0 to ``by``."""
+    width = 1
+    while width <= by:
+        step = min(width, by + 1 - width)
+        bits |= bits << step
+        width += step
+    return bits
 
-    A piece dominates pieces of the same total, which could lie in its place; so of two fillings
-    with equal room left the one with fewer and longer pieces is kept.
+
+class Completions:
+    """The undominated fillings around the largest piece, the fullest first, one at a time.
+
+    A filling is dominated if an available piece could take the place of some of its pieces that
+    are no longer together, or the place of none: what is taken out fits wherever that piece lay.
+    Totals descend; those of a total start with the longest pieces. Only what ``sums`` says can be
+    completed is begun, so nothing is left out but what is dominated.
     """
-    left = counts.copy()
-    left[largest] -= 1
-    room = capacity - largest
-    here = np.flatnonzero(left[: room + 1])
-    here = here[here > 0]
-    found = [best_fit_filling(counts, largest, capacity)]
-    if len(here):
-        one = int(here[-1])
-        found.append([largest, one])
-        below = np.zeros(room + 1, dtype=np.int64)  # longest available length of at most i
-        below[here] = here
-        below = np.maximum.accumulate(below)
-        # two pieces: every first one with the longest second one
-        first = here[::-1]
-        second = below[room - first]
-        clash = (second == first) & (left[first] < 2)
-        second = np.where(clash, below[np.maximum(second - 1, 0)], second)
-        pair = first + second
-        for i in np.flatnonzero(pair == pair.max())[:1]:
-            found.append([largest, *[int(n) for n in (first[i], second[i]) if n]])
-        if pair.max() < room and len(here) > 2:
-            # three: the middle-sized firsts leave most choice to the other two
-            best, pick = 0, None
-            for a in first[:: max(1, len(first) // 24)]:
-                rest = room - a
-                b = here[(here <= min(a, rest)) & ((here != a) | (left[a] >= 2))]
-                if not len(b):
+
+    def __init__(self, counts: np.ndarray, largest: int, capacity: int):
+        self.largest, self.room = largest, capacity - largest
+        left = counts[: self.room + 1].tolist()
+        if largest <= self.room:
+            left[largest] -= 1
+        self.left = {n: many for n, many in enumerate(left) if n and many}
+        self.lengths = sorted(self.left)
+        self.available = sum(1 << n for n in self.lengths)
+        self._sums: list[int] = []
+
+    @property
+    def sums(self) -> list[int]:
+        """The totals that the first i lengths can make, as bits; built anew after ``rest``."""
+        if not self._sums:
+            full = (1 << self.room + 1) - 1
+            self._sums = [1]
+            for n in self.lengths:
+                total, many, step = self._sums[-1], min(self.left[n], self.room // n), 1
+                while many:
+                    step = min(step, many)
+                    total |= total << n * step & full
+                    many, step = many - step, 2 * step
+                self._sums.append(total)
+        return self._sums
+
+    def rest(self) -> None:
+        """Free the table while other nodes are searched."""
+        self._sums = []
+
+    def _dominated(self, one: int, more: int, spare: int, unused: int) -> bool:
+        """Whether a piece among ``unused`` can take the place of others; ``one`` and ``more`` hold
+        the totals of single pieces and of several, ``spare`` is the room left."""
+        # in place of several no shorter, in place of one or none longer, by the room left at most
+        reach = _smeared(more, spare) | (_smeared(1 | one, spare - 1) << 1 if spare else 0)
+        return bool(reach & unused)
+
+    def _extend(self, high: int, rest: int, chosen: Filling, one: int, more: int, spent: int, spare: int) -> Iterator:
+        if not rest:
+            yield None if self._dominated(one, more, spare, self.available & ~spent) else chosen
+            return
+        for i in range(min(high, bisect_right(self.lengths, rest)) - 1, -1, -1):
+            n = self.lengths[i]
+            if not self.sums[i + 1] >> rest & 1:
+                return
+            for k in range(min(self.left[n], rest // n), 0, -1):
+                if not self.sums[i] >> (rest - k * n) & 1:
+                    continue
+                several = more
+                for copies in range(k):
+                    several |= (one | several | (1 << n if copies else 0)) << n
+                used_up = spent | (1 << n if k == self.left[n] else 0)
+                above = (self.available & ~used_up) >> n << n
+                if self._dominated(one | 1 << n, several, spare, above):
+                    yield None
                     continue
-                c = below[rest - b]
-                bad = (c > 0) & (left[c] < 1 + (c == a) + (c == b) * 1)
-                total = np.where(bad, 0, a + b + c)
-                j = int(total.argmax())
-                if total[j] > best:
-                    best, pick = int(total[j]), [int(a), int(b[j]), int(c[j])]
-            if pick:
-                found.append([largest, *[n for n in pick if n]])
-    by_total: dict[int, list[int]] = {}
-    for lengths in found:
-        kept = by_total.setdefault(sum(lengths), lengths)
-        if len(lengths) < len(kept):
-            by_total[sum(lengths)] = lengths
-    return [_filling(by_total[t]) for t in sorted(by_total, reverse=True)][:most]
+                yield from self._extend(i, rest - k * n, (*chosen, (n, k)), one | 1 << n, several, used_up, spare)
+
+    def fillings(self, enough: Callable[[int], bool]) -> Iterator[Filling | None]:
+        """Fillings; None for each one that was begun and found dominated; as long as the total
+        is ``enough``."""
+        for total in range(self.room, -1, -1):
+            spare = self.room - total
+            if not enough(self.largest + total):
+                return
+            if sum(n * self.left[n] for n in self.lengths[: bisect_right(self.lengths, spare)]) > total:
+                return  # of the pieces that fit the room left some are always unused
+            if self.sums[-1] >> total & 1:
+                for found in self._extend(len(self.lengths), total, (), 0, 0, 0, spare):
+                    yield found if found is None else self._around(found)
+
+    def _around(self, found: Filling) -> Filling:
+        if found and found[0][0] == self.largest:
+            return ((self.largest, found[0][1] + 1), *found[1:])
+        return ((self.largest, 1), *found)
 
 
 @dataclass
@@ -154,54 +200,110 @@ class Plan:
         return sum(times for _, times in self.steps)
 
 
-def _apply(counts: np.ndarray, filling: Filling) -> tuple[np.ndarray, int]:
-    times = min(int(counts[n]) // k for n, k in filling)
+def _times(counts: np.ndarray, filling: Filling) -> int:
+    """How often the pieces left make the filling."""
+    return min(int(counts[n]) // k for n, k in filling)
+
+
+def _apply(counts: np.ndarray, filling: Filling, times: int) -> np.ndarray:
     left = counts.copy()
     for n, k in filling:
         left[n] -= times * k
-    return left, times
+    return left
 
 
 def _greedy(counts: np.ndarray, capacity: int, choose) -> Plan:
     plan, counts = Plan(), counts.copy()
     while counts.any():
         filling = choose(counts, int(np.flatnonzero(counts)[-1]), capacity)
-        counts, times = _apply(counts, filling)
+        times = _times(counts, filling)
+        counts = _apply(counts, filling, times)
         plan.steps.append((filling, times))
     return plan
 
 
+#: Ways a node is tried in at first; the last search tries all, with the nodes that are left.
+WIDTHS = (2, 4, None)
+
+
+def _children(
+    counts: np.ndarray, ways: Completions, enough: Callable[[int], bool], width: int | None
+) -> Iterator[tuple[Filling, int] | None]:
+    """Every filling as often as the pieces allow, then less often; None as in ``Completions``.
+
+    The best fit comes second. With ``width`` only so many fillings, and none less often.
+    """
+    fit = _filling(best_fit_filling(counts, ways.largest, ways.largest + ways.room))
+    tried, again = 0, False
+    for filling in ways.fillings(enough):
+        if filling is None or tried and filling == fit:
+            yield None
+            continue
+        times = _times(counts, filling)
+        tried, again = tried + 1, again or times > 1
+        yield filling, times
+        if tried == 1 and filling != fit:
+            tried, times = 2, _times(counts, fit)
+            again |= times > 1
+            yield fit, times
+        if width and tried >= width:
+            return
+    for filling in ways.fillings(enough) if again and not width else ():
+        yield from ((filling, t) for t in range(_times(counts, filling) - 1, 0, -1)) if filling else [None]
+
+
 def search(counts: np.ndarray, capacity: int = CAPACITY, nodes: int = NODES) -> Plan:
     """Fewest sequences found for ``counts[length]`` pieces of each length.
 
     The best-fit solution is the first incumbent. Depth first, every node fills around the largest
     piece left; a node is cut when the room wasted so far, with the pieces left, already needs as
-    many sequences as the incumbent. The search ends at the volume bound, which no packing beats,
-    or after ``nodes`` nodes.
+    many sequences as the incumbent. Searches with few fillings a node come first, as they differ
+    early; the last has all undominated ones. The search ends at the volume bound, which no packing
+    beats, or after ``nodes`` nodes; a filling begun and found dominated is one, too.
     """
     sizes = np.arange(len(counts))
     bound = -(-int((counts * sizes).sum()) // capacity)
     incumbent = _greedy(counts, capacity, lambda *a: _filling(best_fit_filling(*a)))
-    stack = [(counts, None, 0)]
-    opened = 0
-    while stack and incumbent.sequences > bound and opened < nodes:
-        left, path, used = stack.pop()
+    best, opened = incumbent.sequences, 0
+    path: list[tuple[Filling, int]] = []
+    stack: list[tuple] = []  # of each node on the path: pieces left, sequences used, ways, children
+
+    def open_node(left: np.ndarray, used: int, width: int | None) -> None:
         remaining = int((left * sizes).sum())
-        if used - (-remaining // capacity) >= incumbent.sequences:
-            continue
-        if not remaining:
-            incumbent = Plan()
-            while path:
-                step, path = path
-                incumbent.steps.insert(0, step)
-            continue
-        opened += 1
-        largest = int(np.flatnonzero(left)[-1])
-        for filling in reversed(completions(left, largest, capacity)):
-            after, times = _apply(left, filling)
-            needed = used + times - (-int((after * sizes).sum()) // capacity)
-            if needed < incumbent.sequences:  # the room wasted so far costs no sequence yet
-                stack.append((after, ((filling, times), path), used + times))
+
+        def enough(total: int) -> bool:
+            return used + 1 - (total - remaining) // capacity < best
+
+        if stack:
+            stack[-1][2].rest()
+        ways = Completions(left, int(np.flatnonzero(left)[-1]), capacity)
+        stack.append((left, used, ways, _children(left, ways, enough, width)))
+
+    share = max(nodes // len(WIDTHS), 3 * int((counts > 0).sum()) // 2)  # nodes down to a first solution
+    for i, width in enumerate(WIDTHS, 1):
+        stack.clear()
+        most = min(nodes, share * i) if width else nodes
+        if best > bound:
+            open_node(counts, 0, width)
+        while stack and best > bound and opened < most:
+            left, used, ways, children = stack[-1]
+            child = next(children, False)
+            if child is False:
+                stack.pop()
+                continue
+            opened += 1
+            if child is None:
+                continue
+            after = _apply(left, *child)
+            # the room wasted so far may cost a sequence already
+            if used + child[1] - (-int((after * sizes).sum()) // capacity) >= best:
+                continue
+            path[len(stack) - 1 :] = [child]
+            if after.any():
+                open_node(after, used + child[1], width)
+            else:
+                incumbent = Plan(list(path))
+                best = incumbent.sequences
     return incumbent
 
 
