@@ -7,17 +7,23 @@ unchanged, with further ones if there are any; the last returns packed pieces. D
 * lines: lines that an earlier line nearly repeats go, and documents that had words and have none
   left; ``n_chars`` is that of the remaining text;
 * near duplicates: of each group the document with the smallest doc_id stays, once; documents
-  without words or without a doc_id stay;
+  without words or without a doc_id stay; unlike texts of one doc_id are different documents, and
+  texts with equal shingle sets under it are one;
 * decontamination: documents with a benchmark passage go;
 * packing: every remaining document, the empty ones too.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from trackmill.llm import decontaminate, line_dedup, ngram_join, packing, quality
-from trackmill.llm.common import stored, table
+from trackmill.llm.common import slices, stored, table, utf8
+from trackmill.llm.shingles import ShingleSets
 
 NO_WORD = r"^[ \t-\r]*$"
 
@@ -36,14 +42,24 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     return rows.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
 
 
+def _named_by_set(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for rows in slices(batches):
+        sets = ShingleSets(list(utf8(rows["text"]))).sums(3).view(np.int64)
+        yield rows.append_column("_set", pa.array(sets))
+
+
 def keep_one_of_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    groups = ngram_join.join_similar(docs)
-    gone = groups.filter("doc_id <> component_id").select(F.col("doc_id").alias("gone_id")).distinct()
-    own = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text")
-    rows = docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
-    named = rows.filter("doc_id is not null")
-    once = named.select(*named.columns, F.row_number().over(own).alias("_nth_of_id")).filter("_nth_of_id = 1")
-    return once.drop("_nth_of_id").unionByName(docs.filter("doc_id is null"))
+    # texts of one doc_id are documents of their own unless their shingle sets are equal
+    schema = T.StructType([*docs.schema.fields, T.StructField("_set", T.LongType())])
+    named = docs.filter("doc_id is not null").mapInArrow(_named_by_set, schema)
+    named = stored(named.withColumn("_node", F.xxhash64("doc_id", "_set")).drop("_set"))
+    groups = ngram_join.join_similar(named.select(F.col("_node").alias("doc_id"), "text")).distinct()
+    groups = groups.select(F.col("doc_id").alias("_node"), F.col("component_id").alias("_group"))
+    first = named.select("_node", "doc_id").distinct().join(groups, "_node").groupBy("_group")
+    stays = first.agg(F.min(F.struct("doc_id", "_node")).alias("_first")).select(F.col("_first._node").alias("_node"))
+    own = Window.partitionBy("_node").orderBy(F.xxhash64("text"), "text")
+    rows = named.join(stays, "_node", "left_semi").withColumn("_nth", F.row_number().over(own)).filter("_nth = 1")
+    return rows.select(docs.columns).unionByName(docs.filter("doc_id is null"))
 
 
 def _key() -> Column:

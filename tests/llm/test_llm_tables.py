@@ -232,3 +232,12 @@ def test_queries_return_their_columns(spark, small, name):
         "op10": ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"],
     }
     assert QUERIES[name](spark, small).columns == expected[name.split("_")[0]]
+
+
+def test_unlike_texts_of_one_doc_id_stay(spark, small):
+    words = [" ".join(f"{kind}{i}" for i in range(60)) for kind in "abc"]
+    near = words[1] + " end"
+    rows = [(1, words[1]), (5, words[0]), (5, words[2]), (5, near), (7, words[0]), (5, words[2]), (9, ""), (9, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = dict(corpus_pipeline.STAGES)["ngram_join"](spark, docs, small).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == [(1, words[1]), (5, words[0]), (5, words[2]), (9, "")]
