@@ -28,7 +28,7 @@ def test_kernel_counts_gapped_runs():
     expected = [[plain_kernel(w, m, 0.6) for m in landmarks] for w in words]
     np.testing.assert_allclose(toxicity.kernel(words, landmarks), expected, atol=1e-6)
     near = toxicity.similarities(["idiot", "id1iot", "xx" * 40 + "idiot" + "y" * 30, "table"], ["idiot"])[:, 0]
-    assert near[0] == near[2] == 1 and 0.2 < near[1] < 1 and near[3] == 0
+    assert near[0] == near[2] == 1 and 0.5 < near[1] < 1 and near[3] == 0
 
 
 def toxic_texts(n=400):
@@ -51,6 +51,31 @@ def test_machine_learns_and_tolerates_inserted_characters():
     assert (scores[:2] > 0.5).all() and (scores[2:] < 0.3).all()
 
 
+def test_five_letter_insults_with_gaps_count():
+    rng = random.Random(2)
+    texts = []
+    for i in range(400):
+        words = {f"{rng.choice('bcdfgklm')}{rng.choice('aeiou')}{rng.choice('nrst')}{rng.randrange(30)}" for _ in range(40)}
+        texts.append(words | set(rng.sample(["idiot", "trash", "moron"], 2) if i % 5 == 0 else []))
+    machine = toxicity.train(texts, np.array([float(i % 5 == 0) for i in range(400)]))
+    describer = toxicity.Describer(machine.landmarks)
+    spoiled = {
+        "one gap": lambda w: w[:2] + "." + w[2:],
+        "one inserted": lambda w: w[:2] + "1" + w[2:],
+        "all gaps": ".".join,
+        "missing": lambda w: w[:2] + w[3:],
+        "masked": lambda w: w[:2] + "*" + w[3:],
+    }
+    insults = ["idiot", "trash", "moron"]
+    texts = ["ban1 bos2 " + " ".join(map(spoil, insults)) for spoil in spoiled.values()]
+    scores = dict(zip(spoiled, machine.score(describer.describe([t.encode() for t in texts]))))
+    clean = machine.score(describer.describe([b"ban1 bos2 fir3 the riot and the idol"]))[0]
+    assert clean < toxicity.THRESHOLD
+    assert min(scores["one gap"], scores["one inserted"], scores["all gaps"]) >= toxicity.THRESHOLD
+    # three runs of five letters lost: more than a clean text, below the threshold (see the README)
+    assert min(scores["missing"], scores["masked"]) > 2 * clean
+
+
 def test_machine_without_both_kinds_scores_the_share():
     assert toxicity.train([], np.zeros(0)).score(np.zeros((2, 0))).tolist() == [0.5, 0.5]
     assert toxicity.train([{"a"}], np.ones(1)).score(np.zeros((1, 0)))[0] == pytest.approx(0.999)

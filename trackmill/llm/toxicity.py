@@ -40,9 +40,13 @@ DECAY = 0.6
 #: Landmarks that a toxic text should hold; texts with fewer call for more.
 HELD = 5
 #: Kernel values below this share of a landmark's own are taken as none.
-FAINT = 0.2
+FAINT = 0.1
+#: Powers of the shares that describe a text, kernels as well: the first keeps what is left of a match
+#: with gaps, the third tells whole matches from parts.
+POWERS = (1, 3)
 WINDOW = 24
 KNOWN_WORDS = 2_000_000
+WORDS_AT_ONCE = 20_000
 
 
 def _codes(words: list[str], width: int, pad: int) -> np.ndarray:
@@ -81,22 +85,27 @@ def kernel(words: list[str], landmarks: list[str], decay: float = DECAY) -> np.n
 
 
 def similarities(words: list[str], landmarks: list[str]) -> np.ndarray:
-    """Third powers of kernel values as shares of each landmark's own; long words by windows."""
+    """Kernel values as shares of each landmark's own; long words by windows, words that hold
+    other characters than letters and digits also without these."""
     own = np.diag(kernel(landmarks, landmarks)) if landmarks else np.zeros(0)
     out = np.zeros((len(words), len(landmarks)), dtype=np.float32)
     parts, whose = [], []
     for i, word in enumerate(words):
-        for at in range(0, max(1, len(word) - WINDOW // 2), WINDOW // 2):
-            parts.append(word[at : at + WINDOW])
-            whose.append(i)
+        for form in {word, "".join(filter(str.isalnum, word))}:
+            for at in range(0, max(1, len(form) - WINDOW // 2), WINDOW // 2):
+                parts.append(form[at : at + WINDOW])
+                whose.append(i)
     order = sorted(range(len(parts)), key=lambda k: len(parts[k]))
     for low in range(0, len(order), 1024):
         some = order[low : low + 1024]
         found = kernel([parts[k] for k in some], landmarks) / own
         np.maximum.at(out, np.array([whose[k] for k in some]), found)
     out[out < FAINT] = 0
-    # the third power, a kernel as well, tells whole matches from parts
-    return np.minimum(out, 1) ** 3
+    return np.minimum(out, 1)
+
+
+def _features(shares: np.ndarray) -> np.ndarray:
+    return np.concatenate([shares**p for p in POWERS], axis=1)
 
 
 def _grams(word: str) -> set[str]:
@@ -186,6 +195,19 @@ def _calibrate(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return a, b
 
 
+def _with_spoiled(texts: list[set[str]], y: np.ndarray, landmarks: list[str]) -> tuple[list[set[str]], np.ndarray]:
+    """Further toxic texts: those that hold landmarks, with a character of each missing, and with one
+    more; so the machine learns how much of a match is left then."""
+    out = []
+    for words in (t for t, kind in zip(texts, y) if kind == 1):
+        found = {w: m for w in words for m in landmarks if m in w}
+        middle = {w: w.index(m) + len(m) // 2 for w, m in found.items()}
+        for instead in ("", "0") if found else ():
+            kept = set(words) - set(found)
+            out.append(kept | {w[:i] + (w[i] + instead if instead else "") + w[i + 1 :] for w, i in middle.items()})
+    return [*texts, *out], np.append(y, np.ones(len(out)))
+
+
 def train(texts: list[set[str]], y: np.ndarray) -> Machine:
     share = float(np.clip(y.mean() if len(y) else 0.5, 1e-3, 1 - 1e-3))
     prior = Machine([], np.zeros(0), float(np.log(share / (1 - share))))
@@ -194,17 +216,28 @@ def train(texts: list[set[str]], y: np.ndarray) -> Machine:
     landmarks = choose_landmarks(texts, y == 1)
     if not landmarks:
         return prior
+    given, texts, y = len(texts), *_with_spoiled(texts, y, landmarks)
     vocabulary = sorted(set().union(*texts))
     place = {w: i for i, w in enumerate(vocabulary)}
-    values = similarities(vocabulary, landmarks)
-    x = np.array([values[[place[w] for w in t]].max(axis=0) if t else np.zeros(len(landmarks)) for t in texts])
-    # Nyström: the space in which the landmarks' kernel is an inner product
+    of = np.array([(place[w], i) for i, t in enumerate(texts) for w in t], dtype=np.int32).reshape(-1, 2)
+    of = of[np.argsort(of[:, 0], kind="stable")]
+    shares = np.zeros((len(texts), len(landmarks)), dtype=np.float32)
+    for low in range(0, len(vocabulary), WORDS_AT_ONCE):
+        values = similarities(vocabulary[low : low + WORDS_AT_ONCE], landmarks)
+        word, text = of[slice(*np.searchsorted(of[:, 0], [low, low + WORDS_AT_ONCE]))].T
+        near = values.any(axis=1)[word - low]
+        np.maximum.at(shares, text[near], values[word[near] - low])
+    x = _features(shares.astype(np.float64))
+    # Nyström: the space in which the landmarks' kernel, of each power, is an inner product
     gram = kernel(landmarks, landmarks).astype(np.float64)
     scale = np.sqrt(np.diag(gram))
-    size, turn = np.linalg.eigh((gram / scale[:, None] / scale) ** 3 + 0.05 * np.eye(len(landmarks)))
-    into = turn @ np.diag(size**-0.5) @ turn.T
+    into = np.zeros((x.shape[1], x.shape[1]))
+    for i, power in enumerate(POWERS):
+        size, turn = np.linalg.eigh((gram / scale[:, None] / scale) ** power + 0.05 * np.eye(len(landmarks)))
+        own = slice(i * len(landmarks), (i + 1) * len(landmarks))
+        into[own, own] = turn @ np.diag(size**-0.5) @ turn.T
     w, b = _separate(x @ into, y)
-    a, c = _calibrate((x @ into) @ w + b, y)
+    a, c = _calibrate(((x @ into) @ w + b)[:given], y[:given])
     return Machine(landmarks, into @ w * a, b * a + c)
 
 
@@ -244,10 +277,15 @@ class Describer:
         text = np.frombuffer(b" " + b" ".join(texts) + b" ", np.uint8)
         first = np.cumsum([1] + [len(t) + 1 for t in texts])
         out = np.zeros((len(texts), len(self.landmarks)), dtype=np.float32)
+        self._pool(text, first, out)
+        return _features(out)
+
+    def _pool(self, text: np.ndarray, first: np.ndarray, out: np.ndarray) -> None:
+        """Largest share of each text's words with each landmark, into ``out``."""
         low = lowered(text)
         start, end = word_spans(low)
         if not len(start) or not self.landmarks:
-            return out
+            return
         doc = np.searchsorted(first, start, "right") - 1
         distinct, where, which = np.unique(span_hashes(low, start, end), return_index=True, return_inverse=True)
         new = ~np.isin(distinct, self.known, assume_unique=True)
@@ -267,7 +305,6 @@ class Describer:
         row = self.row[np.searchsorted(self.known, distinct)][which]
         near = np.flatnonzero(row)
         np.maximum.at(out, doc[near], self.values[row[near]])
-        return out
 
 
 _DESCRIBERS: dict[tuple[str, ...], Describer] = {}
