@@ -1,0 +1,331 @@
+"""Periodic runs, language filters and Merkle manifests: against plain versions."""
+
+import os
+import random
+import sys
+import zlib
+from hashlib import sha256
+
+import duckdb
+import numpy as np
+import plain
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from trackmill.llm import language, merkle, periodic
+from trackmill.llm.registry import ORACLES, QUERIES
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+from comparison import connect, differences  # noqa: E402
+
+
+# --- periodic runs ---------------------------------------------------------------------------
+
+
+def plain_runs(words):
+    """(start, length, period) by comparing all words at every lag."""
+    n, found = len(words), {}
+    for q in range(1, n // 4 + 1):
+        i = q
+        while i < n:
+            j = i
+            while j < n and words[j] == words[j - q]:
+                j += 1
+            if j - i + q >= max(6, 4 * q):
+                found.setdefault((i - q, j), q)
+            i = j + 1
+    return sorted((s, e - s, q) for (s, e), q in found.items())
+
+
+def repetitive(rng):
+    n, k = rng.randrange(0, 60), rng.choice([1, 2, 2, 3, 5])
+    words = [rng.randrange(k) for _ in range(n)]
+    for _ in range(rng.randrange(3)):
+        a, p = rng.randrange(n + 1), rng.randrange(1, 8)
+        for x in range(a + p, min(n, a + rng.randrange(1, 40))):
+            words[x] = words[x - p]
+    return words
+
+
+def test_diagonals_find_all_runs_whatever_the_slices():
+    rng = random.Random(4)
+    for _ in range(3000):
+        docs = [repetitive(rng) for _ in range(rng.randrange(1, 4))]
+        count = np.array([len(d) for d in docs])
+        first = np.cumsum(count) - count
+        words = np.array([w for d in docs for w in d], dtype=np.int64)
+        found = periodic.Diagonals(words, first, count, most=rng.choice([1, 3, 10, 50, 10**6])).runs()
+        expected = [(s + f, s + f + n, q) for d, f in zip(docs, first) for s, n, q in plain_runs(d)]
+        assert [tuple(r) for r in found] == sorted(expected, key=lambda r: (r[0], r[2]))
+
+
+def test_very_long_repetitions_end_soon():
+    for words in ([0] * 300_000, ([0] * 7 + [1]) * 10_000, list(range(3000)) * 5):
+        found = periodic.Diagonals(np.array(words), np.array([0]), np.array([len(words)])).runs()
+        assert (0, len(words)) in {(s, e) for s, e, _ in found.tolist()}
+
+
+def test_runs_of_documents(spark):
+    rng = random.Random(8)
+    extra = [" ".join("abcde"[w] for w in repetitive(rng)) for _ in range(40)]
+    rows = [(i, t) for i, t in enumerate([*plain.texts(), *extra, "go " * 30_000, "é é\té\né\x0bé é é é"])]
+    rows += [(None, "x y " * 9), (3, rows[3][1]), (3, rows[3][1])]
+    docs, rows = plain.documents(spark, rows)
+    found = periodic.find_runs(docs).collect()
+    assert len(found) == len(rows)
+    texts = {}
+    for i, t in rows:
+        texts.setdefault(i, t)
+    for r in found:
+        words = plain.WORD.findall(texts[r.doc_id] or "")
+        assert r.n_words == len(words)
+        if len(words) < 3000:
+            assert [tuple(x) for x in r.runs] == plain_runs(words)
+        gone = {i for x in r.runs for i in range(x.start + x.period, x.start + x.length)}
+        assert r.collapsed == " ".join(w for i, w in enumerate(words) if i not in gone)
+    assert periodic.find_runs(plain.empty(spark)).count() == 0
+
+
+def test_made_periodic():
+    words = [str(i).encode() for i in range(50)]
+    changed = 0
+    for doc in range(300):
+        h = zlib.crc32(str(doc).encode())
+        a, g = h // 10 % 50, h // 10
+        p = 1 + (50 - a) // (3 + g % 8)
+        expected = [words[i if i < a or h % 10 else a + (i - a) % p] for i in range(50)]
+        assert periodic.made_periodic(doc, words) == expected
+        changed += expected != words
+    assert changed > 15
+    assert periodic.made_periodic(None, words) == words and periodic.made_periodic(7, []) == []
+
+
+# --- language --------------------------------------------------------------------------------
+
+
+def plain_ngrams(text):
+    kept = " " + " ".join("".join(c if c.isalpha() else " " for c in text.lower()).split()) + " "
+    raw = kept.encode()
+    return [raw[i : i + n] for n in (3, 4, 5) for i in range(len(raw) - n + 1)] if kept.strip() else []
+
+
+def test_ngrams_are_exact():
+    texts = ["", "a", "Ab, c1d!", "日本 語x", "ÉÀ -- é", "...", None, " x  y "]
+    grams, many = language.ngrams(language.letters(pa.array(texts)))
+    at = 0
+    for text, n in zip(texts, many):
+        expected = sorted(int.from_bytes(g, "big") | len(g) << 56 for g in plain_ngrams(text or ""))
+        got = sorted(int(g) for g in grams[at : at + n])
+        assert got == expected or (not expected and n == 0)
+        at += n
+
+
+def language_rows(seed, n):
+    rng = random.Random(seed)
+    vocabulary = {
+        "aa": "der die und nicht schon immer grün straße",
+        "bb": "the and of not always green road where",
+        "cc": "el la y no siempre verde calle dónde",
+    }
+    rows = []
+    for i in range(n):
+        name = "abc"[i % 3] * 2
+        rows.append((i, " ".join(rng.choices(vocabulary[name].split(), k=12)), name))
+    return rows
+
+
+def learned(spark, rows):
+    return language.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3))
+
+
+def test_filters_hold_exactly_what_belongs(spark):
+    rows = language_rows(1, 90)
+    filters = learned(spark, [*rows, (900, None, "aa"), (901, "x", None)])
+    assert filters.names == ["aa", "bb", "cc"]
+    count = {}
+    for _, text, name in rows:
+        for g in plain_ngrams(text):
+            count.setdefault(g, {}).setdefault(name, 0)
+            count[g][name] += 1
+    total = {x: sum(c.get(x, 0) for c in count.values()) for x in filters.names}
+    grams = sorted(count)
+    packed = np.array([int.from_bytes(g, "big") | len(g) << 56 for g in grams], dtype=np.uint64)
+    held = filters.counts(packed, np.ones(len(grams), dtype=np.int64))
+    for g, row in zip(grams, held):
+        rate = {x: count[g].get(x, 0) / total[x] for x in filters.names}
+        belongs = [rate[x] >= language.RATE and rate[x] >= language.SHARE * max(rate.values()) for x in filters.names]
+        # the filters never miss; at this load a false hit is not to be expected
+        assert [bool(x) for x in row] == belongs
+
+
+def test_counts_are_corrected_for_false_positives():
+    rng = np.random.default_rng(5)
+    masks = rng.integers(0, 4, language.SLOTS).astype(np.uint64)  # two languages, half the bits set
+    filters = language.Filters(["a", "b"], [masks], np.array([0.125, 0.125]), 0)
+    words = pa.array([" ".join(map(str, range(3))) + " zebra " * 400 + "".join(map(chr, range(97, 117))) * 200])
+    counts = filters.counts(*language.ngrams(language.letters(words)))
+    assert counts.shape == (1, 2) and (counts > 0).all()
+    real = filters.decide(words)
+    assert real[0][0] in ("a", "b") and 0 <= real[1][0] <= 1
+
+
+def test_predictions_of_all_kinds_of_rows(spark):
+    filters = learned(spark, language_rows(1, 90))
+    tests = language_rows(2, 30)
+    rows = [(i, t) for i, t, _ in tests]
+    rows += [(100, None), (101, ""), (102, "12 .. !"), (103, "Жук"), (None, "the and of"), (104, "the road " * 200_000), (3, rows[3][1])]
+    docs, rows = plain.documents(spark, rows)
+    found = {}
+    for r in language.predict(docs, filters).collect():
+        found.setdefault(r.doc_id, []).append((r.lang_pred, r.score))
+    assert sum(map(len, found.values())) == len(rows)
+    assert all(found[i][0][0] == name for i, _, name in tests) and len(found[3]) == 2
+    assert [found[i] for i in (100, 101, 102)] == [[("und", 0.0)]] * 3
+    assert found[103][0][0] in filters.names and found[103][0][1] < 0.5
+    assert found[None][0][0] == found[104][0][0] == "bb"
+    assert all(0 <= s <= 1 for x in found.values() for _, s in x)
+    assert language.predict(plain.empty(spark), filters).count() == 0
+
+
+def test_nothing_to_learn_from(spark):
+    filters = learned(spark, [(1, None, "aa"), (2, "text", None)])
+    docs, _ = plain.documents(spark, [(1, "some text"), (2, None)])
+    assert {(r.lang_pred, r.score) for r in language.predict(docs, filters).collect()} == {("und", 0.0)}
+
+
+def test_more_languages_than_bits_of_a_word(spark):
+    rows = [(i, f"{chr(97 + i % 26)}{chr(97 + i // 26)}q{chr(97 + i % 26)} " * 3, f"l{i:02}") for i in range(70)]
+    filters = learned(spark, rows)
+    assert len(filters.tables) == 2
+    names, _ = filters.decide(pa.array([t for _, t, _ in rows]))
+    assert names == [x for *_, x in rows]
+
+
+def test_too_many_languages_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(language, "MOST_LANGUAGES", 2)
+    with pytest.raises(ValueError, match="more than 2 languages"):
+        learned(spark, language_rows(1, 9))
+
+
+def test_held_out_languages(spark):
+    folder = f"{os.environ.get('TESTDATA_DIR', '/root/testdata')}/sf0.01"
+    found = QUERIES["op12_language"](spark, folder)
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "lang")
+    rows = found.join(docs, "doc_id").collect()
+    assert len(rows) == docs.count()
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in rows)
+    held = [r for r in rows if r.held_out]
+    assert sum(r.lang == r.lang_pred for r in held) / len(held) > 0.98
+
+
+# --- Merkle manifest -------------------------------------------------------------------------
+
+
+def h(*parts):
+    return sha256("".join(parts).encode()).hexdigest()
+
+
+def plain_leaf(values):
+    return h(*["-" if v is None else f"{len(str(v).encode())}:{v}" for v in values])
+
+
+def plain_tree(leaves):
+    """The root, and each leaf's siblings as (left, right) pairs on its way up."""
+    paths, spots, nodes = [[] for _ in leaves], list(range(len(leaves))), leaves
+    while len(nodes) > 1:
+        for i, spot in enumerate(spots):
+            low = spot // 3 * 3
+            paths[i].append(("".join(nodes[low:spot]), "".join(nodes[spot + 1 : low + 3])))
+            spots[i] = spot // 3
+        nodes = [h(*nodes[i : i + 3]) for i in range(0, len(nodes), 3)]
+    return nodes[0], paths
+
+
+def plain_proofs(rows):
+    """(doc_id, leaf, subroot, root, path) of every (source, doc_id, leaf)."""
+    trees = {}
+    for source, doc_id, leaf in rows:
+        trees.setdefault(source, []).append((doc_id is not None, doc_id or 0, leaf, doc_id))
+    order = sorted(trees, key=lambda s: (s is not None, (s or "").encode()))
+    made = {s: plain_tree([x[2] for x in sorted(trees[s], key=lambda x: x[:3])]) for s in order}
+    root, upper = plain_tree([made[s][0] for s in order])
+    out = []
+    for s, way in zip(order, upper):
+        for x, path in zip(sorted(trees[s], key=lambda x: x[:3]), made[s][1]):
+            out.append((x[3], x[2], made[s][0], root, tuple(path + way)))
+    return out
+
+
+def manifest_rows(rng):
+    sizes = {"hot": 700, None: 30, "": 1, "é": 2, "Z": 81, "a": 82, "aa": 3, "b": 4, "c": 243, "d": 9, "e": 5}
+    rows = []
+    for source, n in sizes.items():
+        rows += [(source, rng.randrange(10**6), h(str(rng.random()))) for _ in range(n)]
+    rows += [("hot", None, h("x")), ("hot", None, h("y")), ("a", 5, h("t")), ("a", 5, h("s")), ("a", 5, h("s"))]
+    return rows
+
+
+def test_proofs_equal_those_of_whole_trees(spark, tmp_path):
+    rows = manifest_rows(random.Random(3))
+    rng = random.Random(4)
+    rng.shuffle(rows)
+    table = spark.createDataFrame([(*r, "n") for r in rows], "source string, doc_id long, leaf string, note string").repartition(4)
+    merkle.write_manifest(table, str(tmp_path / "m"), carry=["note"])
+    found = merkle.proofs(spark, str(tmp_path / "m"))
+    assert set(found.columns) == {"source", "doc_id", "leaf", "subroot", "root", "path", "note"}
+    got = [(r.doc_id, r.leaf, r.subroot, r.root, tuple(tuple(p) for p in r.path)) for r in found.collect()]
+    assert sorted(map(str, got)) == sorted(map(str, plain_proofs(rows)))
+    checked = found.withColumn("again", merkle.folded(F.col("leaf"), F.col("path")))
+    assert checked.filter("again != root").count() == 0
+    changed = found.withColumn("again", merkle.folded(F.sha2(F.col("leaf").cast("binary"), 256), F.col("path")))
+    assert changed.filter("again = root").count() == 0
+    # interior nodes between stored levels are not kept: 700 leaves and 9 + 1 nodes of the hot tree
+    levels = sorted(p.name for p in (tmp_path / "m" / "documents").iterdir())
+    assert levels == ["level=0", "level=4", "level=8"]
+
+
+def test_other_heights(spark, tmp_path):
+    for n, rows in enumerate(([("s", 1)], [("s", i) for i in range(4)], [(f"s{i}", 1) for i in range(100)])):
+        rows = [(s, i, h(s, str(i))) for s, i in rows]
+        table = spark.createDataFrame(rows, "source string, doc_id long, leaf string")
+        merkle.write_manifest(table, str(tmp_path / str(n)))
+        got = [(r.doc_id, r.leaf, r.subroot, r.root, tuple(tuple(p) for p in r.path))
+               for r in merkle.proofs(spark, str(tmp_path / str(n))).collect()]
+        assert sorted(got) == sorted(plain_proofs(rows))
+
+
+def test_manifest_of_nothing(spark, tmp_path):
+    empty = spark.createDataFrame([], "source string, doc_id long, leaf string")
+    merkle.write_manifest(empty, str(tmp_path / "m"))
+    assert merkle.proofs(spark, str(tmp_path / "m")).count() == 0
+
+
+def test_leaf_digests(spark):
+    rows = [(1, "s", None, 3, "aé\n"), (None, None, None, None, None), (2, "", "de", 0, ""), (-5, "x", "en", 9, "1:a-" * 20_000)]
+    table = spark.createDataFrame(rows, "doc_id long, source string, lang string, n_chars long, text string")
+    got = table.select(merkle.leaf_digest([F.col(c) for c in table.columns]).alias("d")).collect()
+    assert sorted(r.d for r in got) == sorted(plain_leaf(r) for r in rows)
+
+
+@pytest.mark.parametrize("name", ["op11_periodic", "op13_merkle"])
+def test_queries_equal_sql(spark, small, name):
+    assert differences(QUERIES[name](spark, small), connect(small), ORACLES[name]) == []
+
+
+def test_queries_on_odd_documents(spark, tmp_path):
+    """Nulls in every column, repeated rows, an empty text: the SQL agrees."""
+    rows = [(1, "a b " * 9, "en", "s", 4), (2, None, None, None, None), (3, "", "de", "s", 0), (None, "x\ny\n" * 5, "en", None, 3)]
+    rows += [(i, "w\n" * (i % 7) + "v " * i, "en", "t", i) for i in range(10, 60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    folder = str(tmp_path / "odd")
+    docs.coalesce(1).write.parquet(f"{folder}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from read_parquet('{folder}/documents.parquet/*.parquet')")
+    found = QUERIES["op13_merkle"](spark, folder)
+    assert found.count() == len(rows)
+    assert differences(found.filter("doc_id is not null"), con, f"select * from ({ORACLES['op13_merkle']}) where doc_id is not null") == []
+    runs = QUERIES["op11_periodic"](spark, folder)
+    assert runs.count() == len(rows)
+    assert differences(runs.filter("doc_id is not null"), con, f"select * from ({ORACLES['op11_periodic']}) where doc_id is not null") == []
+    assert QUERIES["op12_language"](spark, folder).count() == len(rows)

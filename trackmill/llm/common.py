@@ -64,3 +64,13 @@ def batch(schema: pa.Schema, **columns) -> pa.RecordBatch:
         ],
         schema=schema,
     )
+
+
+#: DuckDB: the crc32 of doc_id in decimal, as a common table expression ``crc(doc_id, h)``.
+CRC_SQL = """crc as (
+    select doc_id, xor(4294967295, list_reduce(
+        list_prepend(4294967295, list_transform(string_split(cast(doc_id as varchar), ''), lambda c: cast(ascii(c) as bigint))),
+        lambda acc, c: list_reduce(list_prepend(xor(acc, c), range(8)),
+            lambda x, i: case when x % 2 = 1 then xor(x // 2, 3988292384) else x // 2 end))) as h
+    from documents where doc_id is not null
+)"""
