@@ -285,7 +285,7 @@ with {CRC_SQL}, split as (
     select d.doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') as w, h
     from documents d left join crc on d.doc_id = crc.doc_id
 ), sized as (
-    select doc_id, w, len(w) as n, h % 10 = 0 and len(w) > 0 as made, (h // 10) % len(w) as a, 3 + (h // 10) % 8 as k
+    select doc_id, w, len(w) as n, h % 10 = 0 and len(w) > 0 as made, (h // 10) % nullif(len(w), 0) as a, 3 + (h // 10) % 8 as k
     from split
 ), texts as (
     select doc_id, n, case when made
