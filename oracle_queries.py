@@ -550,4 +550,24 @@ ORACLES = {
       group by all having count(*) > 1"""),
     "check_report": query(" union all ".join(_FULL_REPORT)),
     "check_report_raw": query(" union all ".join(_RAW_REPORT)),
+    "published_race_summary": query("select * from race_summary"),
+    "published_check_report": query(" union all ".join(_FULL_REPORT)),
+    "stored_replace_pit_stops": query(f"""
+      , again as (select session_key from raw_sessions where year >= 1996)
+      select {COLUMNS["pit_stops"]}, timestamp '2024-01-01 00:00:00' as created_at from raw_pit_stops
+      where session_key is not null and session_key not in (from again)
+      union all
+      select {COLUMNS["pit_stops"].replace("pit_duration", "pit_duration + 1 as pit_duration")},
+        timestamp '2024-02-01 00:00:00' as created_at from raw_pit_stops where session_key in (from again)"""),
+    "stored_upsert_drivers": _upserted(
+        "drivers",
+        ["driver_number", "session_key"],
+        "trim(team_name) || ' II' as team_name",
+        "session_key in (select session_key from raw_sessions where year <= 1996)",
+        "session_key in (select session_key from raw_sessions where year >= 1996)",
+    ),
+    "streamed_weather": query(f"""
+      select {COLUMNS["weather"]} from raw_weather where session_key in (
+        select session_key from raw_sessions
+        where date_end between timestamp '1998-06-30 00:00:00' - interval 14 day and timestamp '1998-06-30 00:00:00')"""),
 }

@@ -127,7 +127,7 @@ def test_utc_timestamps_do_not_depend_on_the_session_zone(spark, zone):
     spark.conf.set("spark.sql.session.timeZone", zone)
     try:
         found = {r.t: r.u for r in df.select("t", utc_timestamp(F.col("t")).alias("u")).collect()}
-        with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        with pytest.raises(Exception, match="not a timestamp"):
             spark.range(1).select(utc_timestamp(F.lit("soon"))).collect()
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")

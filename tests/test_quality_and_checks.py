@@ -5,7 +5,7 @@ from trackmill.fixed_values import MODEL_CHECKS
 from trackmill.operators import checks
 from trackmill.plans import quality
 from trackmill.plans.models import Models
-from trackmill.plans.suite import ChecksFailed, check_report, enforce
+from trackmill.plans.suite import ChecksFailed, check_report, checked
 
 
 def test_lap_anomalies_in_rule_order(spark):
@@ -91,13 +91,13 @@ def test_the_suite_has_41_checks(spark):
     m = Models(raw(spark, sessions=[session(1)]))
     report = check_report({name: getattr(m, name) for name in MODEL_CHECKS})
     assert report.count() == 41
-    enforce(report)
+    checked(report)
 
 
 def test_the_gate_names_what_failed(spark):
     m = Models(raw(spark, sessions=[session(1), session(1)], laps=[lap(2, 1, 1, 80.0)]))
     report = check_report({name: getattr(m, name) for name in MODEL_CHECKS})
     with pytest.raises(ChecksFailed) as failure:
-        enforce(report)
+        checked(report)
     assert "unique(stg_sessions.session_key): 1" in str(failure.value)
     assert "relationships(stg_laps.session_key): 1" in str(failure.value)

@@ -1,7 +1,7 @@
 """Keyed upsert and per-key replacement, as pure DataFrame functions.
 
-No side is broadcast by hint: Spark broadcasts the batch when its size is known to be
-small and shuffles both sides otherwise.
+No side is broadcast by hint. A replacement's keys are broadcast by Spark when their size is known
+to be small; an upsert shuffles both sides on the key.
 """
 
 from __future__ import annotations
@@ -35,24 +35,17 @@ def upsert(
 ) -> DataFrame:
     """``current`` with the rows of ``batch`` inserted, or written over the row of the same key.
 
-    An overwritten row keeps its first value of the ``keep`` columns. ``batch`` holds one
-    row per key. Both joins put the batch on the side Spark can broadcast, so a small
-    batch never shuffles the current table.
+    An overwritten row keeps its first value of the ``keep`` columns. ``batch`` holds one row per
+    key. One full join on the key, so each side is read once.
     """
     kept = [c for c in keep if c in current.columns]
-    untouched = current.join(batch.select(*keys), [*keys], "left_anti")
-    touched = current.join(batch.select(*keys), [*keys], "left_semi").select(
-        *keys, *[F.col(c).alias(f"_old_{c}") for c in kept], F.lit(True).alias("_found")
-    )
-    merged = batch.join(touched, [*keys], "left").select(
-        *[
-            F.when(F.col("_found"), F.col(f"_old_{c}")).otherwise(F.col(c)).alias(c)
-            if c in kept
-            else F.col(c)
-            for c in current.columns
-        ]
-    )
-    return untouched.unionByName(merged)
+    values = [c for c in current.columns if c not in keys]
+    old = current.withColumn("_old", F.lit(True))
+    new = batch.select(*keys, *[F.col(c).alias(f"_new_{c}") for c in values], F.lit(True).alias("_new"))
+    first = {c: F.when(F.col("_old"), F.col(c)).otherwise(F.col(f"_new_{c}")) for c in kept}
+    last = {c: F.when(F.col("_new"), F.col(f"_new_{c}")).otherwise(F.col(c)) for c in values}
+    merged = old.join(new, [*keys], "full")
+    return merged.select(*[c if c in keys else {**last, **first}[c].alias(c) for c in current.columns])
 
 
 def replace_by_key(current: DataFrame, new: DataFrame, key: str) -> DataFrame:

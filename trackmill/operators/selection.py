@@ -62,6 +62,16 @@ def select_backfill(
     return drop_null_keys(sessions, ["session_key"]).filter(F.col(season).isin(*wanted))
 
 
+def seasons_of_run(mode: str, now: datetime, seasons: Sequence[int] | None = None) -> list[int]:
+    """The seasons whose sessions a run looks at."""
+    if mode not in RUN_MODES:
+        raise ValueError(f"unknown run mode: {mode}")
+    now = utc_wall_clock(now)
+    if mode == "backfill":
+        return valid_seasons(DEFAULT_SEASONS if seasons is None else seasons, now.year)
+    return list(range((now - timedelta(days=LOOKBACK_DAYS)).year, now.year + 1))
+
+
 def select_sessions(
     sessions: DataFrame,
     mode: str,

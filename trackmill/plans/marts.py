@@ -119,11 +119,9 @@ def counted_pit_stops(pit_stops: DataFrame) -> DataFrame:
     return pit_stops.filter(F.col("pit_duration") < COUNTED_PIT_SECONDS_BELOW)
 
 
-def pit_stop_impact(
-    races: DataFrame, pit_stops: DataFrame, finals: DataFrame, drivers: DataFrame
-) -> DataFrame:
-    """Stops and time lost per driver and race, beside the final position."""
-    stops = (
+def entry_pit_stops(pit_stops: DataFrame) -> DataFrame:
+    """Stops and time lost of every driver in every session."""
+    return (
         counted_pit_stops(pit_stops)
         .groupBy(*ENTRY)
         .agg(
@@ -132,6 +130,12 @@ def pit_stop_impact(
             rounded(F.sum("pit_duration"), 2).alias("total_pit_time_sec"),
         )
     )
+
+
+def pit_stop_impact(
+    races: DataFrame, stops: DataFrame, finals: DataFrame, drivers: DataFrame
+) -> DataFrame:
+    """Stops and time lost per driver and race, beside the final position."""
     return (
         stops.join(finals, ENTRY)
         .join(drivers, ENTRY)

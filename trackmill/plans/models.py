@@ -26,10 +26,17 @@ MARTS = [
     "weather_analysis",
 ]
 ANOMALIES = ["dq_lap_anomalies", "dq_weather_anomalies"]
-# Reductions that several marts share.
-SHARED = ["final_positions", "driver_lap_stats", "best_laps"]
+# Reductions of staged facts, which the marts read instead of them.
+SHARED = [
+    "final_positions",
+    "driver_lap_stats",
+    "best_laps",
+    "pit_stats_by_session",
+    "entry_pit_stops",
+    "weather_stats",
+]
 # Computed within one session: a session's rows depend on that session's raw rows alone.
-BY_SESSION = [name for name in [*STAGING, *SHARED, *ANOMALIES] if name != "stg_sessions"]
+BY_SESSION = [*STAGING, *SHARED, *ANOMALIES]
 
 
 class Models:
@@ -108,6 +115,10 @@ class Models:
     def pit_stats_by_session(self) -> DataFrame:
         return marts.pit_stats_by_session(self.stg_pit_stops)
 
+    @cached_property
+    def entry_pit_stops(self) -> DataFrame:
+        return marts.entry_pit_stops(self.stg_pit_stops)
+
     @cached_property
     def weather_stats(self) -> DataFrame:
         return marts.weather_stats(self.stg_weather)
@@ -147,7 +158,7 @@ class Models:
     @cached_property
     def pit_stop_impact(self) -> DataFrame:
         return marts.pit_stop_impact(
-            self.race_sessions, self.stg_pit_stops, self.final_positions, self.stg_drivers
+            self.race_sessions, self.entry_pit_stops, self.final_positions, self.stg_drivers
         )
 
     @cached_property

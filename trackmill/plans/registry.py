@@ -23,6 +23,13 @@ from trackmill.operators.selection import (
     select_incremental,
 )
 from trackmill.plans.models import ANOMALIES, MARTS, STAGING, Models
+from trackmill.plans.stored import (
+    published_model,
+    published_report,
+    stored_replacement,
+    stored_upsert,
+    streamed_weather,
+)
 from trackmill.plans.suite import check_report
 from trackmill.schemas import columns
 from trackmill.sources.payloads import payload_problem, read_records
@@ -270,4 +277,9 @@ QUERIES: dict[str, Query] = {
     "check_unique_laps": check_unique_laps,
     "check_report": full_report,
     "check_report_raw": raw_report,
+    "published_race_summary": published_model("race_summary"),
+    "published_check_report": published_report,
+    "stored_replace_pit_stops": stored_replacement("pit_stops", "pit_duration", RELOADED_FROM),
+    "stored_upsert_drivers": stored_upsert(KNOWN_UNTIL, RELOADED_FROM),
+    "streamed_weather": streamed_weather,
 }

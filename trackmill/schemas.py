@@ -1,6 +1,6 @@
 """Spark schemas of the raw tables, built from the fixed column lists."""
 
-from pyspark.sql import types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from trackmill.fixed_values import DIMENSION_KEYS, RAW_COLUMNS
 
@@ -9,6 +9,12 @@ def columns(table: str) -> list[str]:
     return list(RAW_COLUMNS[table])
 
 
+def nothing(spark: SparkSession, schema: T.StructType | str) -> DataFrame:
+    """No rows of a schema, in a form that Spark knows to be empty when it plans."""
+    fields = (T.StructType.fromDDL(schema) if isinstance(schema, str) else schema).fields
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in fields])
+
+
 def raw_schema(table: str) -> T.StructType:
     """The table as stored: its columns plus the values stamped at load time."""
     fields = [f"{name} {kind}" for name, kind in RAW_COLUMNS[table].items()]
