@@ -9,7 +9,7 @@ unchanged, with further ones if there are any; the last returns packed pieces. D
 * near duplicates: of each group the document with the smallest doc_id stays, once; documents
   without words or without a doc_id stay; unlike texts of one doc_id are different documents, and
   texts with equal shingle sets under it are one;
-* decontamination: documents with a benchmark passage go;
+* decontamination: documents with a benchmark passage go, each text of a doc_id by itself;
 * packing: every remaining document, the empty ones too.
 """
 
@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from trackmill.llm import decontaminate, line_dedup, ngram_join, packing, quality
 from trackmill.llm.common import slices, stored, table, utf8
@@ -62,16 +62,12 @@ def keep_one_of_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return rows.select(docs.columns).unionByName(docs.filter("doc_id is null"))
 
 
-def _key() -> Column:
-    """A document's number: its id, or a hash of its text."""
-    return F.coalesce("doc_id", F.xxhash64("text"))
-
-
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    numbered = docs.select(_key().alias("doc_id"), "text")
-    found = decontaminate.matches(numbered, table(spark, sf_dir, "benchmark"))
-    found = found.select(F.col("doc_id").alias("found_id")).distinct()
-    return docs.join(found, _key() == found["found_id"], "left_anti")
+    # texts of one doc_id are documents of their own, so a text is known by both
+    key = F.xxhash64("doc_id", "text")
+    found = decontaminate.matches(docs.select(key.alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
+    found = found.select(F.col("doc_id").alias("_found_key")).distinct()
+    return docs.join(found, key == found["_found_key"], "left_anti")
 
 
 def pack_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
