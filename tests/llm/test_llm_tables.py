@@ -230,6 +230,9 @@ def test_queries_return_their_columns(spark, small, name):
         "op8": ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"],
         "op9": ["doc_id", "held_out", "score", "predicted"],
         "op10": ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"],
+        "op11": ["doc_id", "n_runs", "start", "length", "period", "runs_sha256", "collapsed_sha256", "exponent_milli"],
+        "op12": ["doc_id", "lang_pred", "score", "held_out"],
+        "op13": ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"],
     }
     assert QUERIES[name](spark, small).columns == expected[name.split("_")[0]]
 
@@ -241,3 +244,12 @@ def test_unlike_texts_of_one_doc_id_stay(spark, small):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     kept = dict(corpus_pipeline.STAGES)["ngram_join"](spark, docs, small).collect()
     assert sorted((r.doc_id, r.text) for r in kept) == [(1, words[1]), (5, words[0]), (5, words[2]), (9, "")]
+
+
+def test_clean_texts_of_a_contaminated_doc_id_stay(spark, small):
+    item = spark.read.parquet(f"{small}/benchmark.parquet").orderBy("item_id").first().text
+    clean = " ".join(f"clean{i}" for i in range(80))
+    rows = [(2, clean), (2, f"{clean} {item}"), (None, item), (None, clean), (3, None), (4, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = dict(corpus_pipeline.STAGES)["decontaminate"](spark, docs, small).collect()
+    assert sorted(map(str, kept)) == sorted(map(str, [r for r in docs.collect() if item not in (r.text or "")]))

@@ -340,7 +340,7 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     rank = rarity(texts)
     lines = stored(texts.mapInArrow(_list_lines, sql(LINES)))
     first = lines.groupBy("name").agg(F.min(F.struct("doc_id", "line")).alias("at")).select("name", "at.*")
-    entries = texts.mapInArrow(_send_entries(rank, buckets), sql(ENTRIES))
+    entries = stored(texts.mapInArrow(_send_entries(rank, buckets), sql(ENTRIES)))
     found = entries.groupBy("bucket").applyInArrow(_name_candidates(FEW), sql(CANDIDATES))
     judged = _judged(found, texts, first)
     open_ = judged.filter("more and not similar").select("name")
@@ -358,12 +358,13 @@ def removed_lines(docs: DataFrame) -> DataFrame:
         "name", F.col("doc_id").alias("first_id"), F.col("line").alias("first_line"), "repeats"
     )
     later = F.expr("doc_id > first_id or (doc_id = first_id and line > first_line)")
-    return lines.join(fate, "name").filter(later | F.col("repeats")).select("doc_id", "line", "name")
+    gone = lines.join(fate, "name").filter(later | F.col("repeats"))
+    return gone.select(F.nullif("doc_id", F.lit(NO_ID)).alias("doc_id"), "line", "name")
 
 
 def remove_lines(docs: DataFrame) -> DataFrame:
     """``docs`` with the remaining lines as text, rows and columns as they were."""
-    gone = removed_lines(docs).groupBy("doc_id").agg(
+    gone = removed_lines(docs).groupBy(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id")).agg(
         F.collect_list("line").alias("lines"), F.collect_list("name").alias("names")
     )  # one list for each document, of its own lines
     gone = gone.select(F.col("doc_id").alias("_gone_id"), F.col("lines").alias("_gone_lines"), F.col("names").alias("_gone_names"))
