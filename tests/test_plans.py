@@ -31,7 +31,11 @@ def without_broadcast(spark):
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+# queries through storage run their jobs when called; what they return is a plain read
+PLANNED = [name for name in QUERIES if not name.startswith(("published_", "stored_", "streamed_"))]
+
+
+@pytest.mark.parametrize("name", sorted(PLANNED))
 def test_no_pairing_of_everything(spark, small, name):
     text = plan(QUERIES[name](spark, small))
     assert "CartesianProduct" not in text

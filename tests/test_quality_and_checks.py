@@ -5,7 +5,7 @@ from trackmill.fixed_values import MODEL_CHECKS
 from trackmill.operators import checks
 from trackmill.plans import quality
 from trackmill.plans.models import Models
-from trackmill.plans.suite import ChecksFailed, check_report, checked
+from trackmill.plans.suite import ChecksFailed, Watched, check_report, checked, report_of_written
 
 
 def test_lap_anomalies_in_rule_order(spark):
@@ -101,3 +101,53 @@ def test_the_gate_names_what_failed(spark):
         checked(report)
     assert "unique(stg_sessions.session_key): 1" in str(failure.value)
     assert "relationships(stg_laps.session_key): 1" in str(failure.value)
+
+
+def test_one_pass_counts_what_the_single_checks_find(spark, tmp_path):
+    rows = [(k, n, v) for k in (1, 2, 2, None, 7) for n in (1, 1, None) for v in ("a", "z", "y", None)]
+    path = str(tmp_path / "child")
+    spark.createDataFrame(rows, "k int, n int, v string").write.parquet(path)
+    child = spark.read.parquet(path)
+    parent = spark.createDataFrame([(1,), (1,), (None,)], "key int")
+    models = {"child": child, "parent": parent}
+    for unique_rows in ([], [["k", "n"]], [["k", "n", "v"], ["n", "v"]]):
+        for one in ([], ["k"], ["n"]):
+            for related in ({}, {"k": ("parent", "key")}, {"k": ("parent", "key"), "n": ("parent", "key")}):
+                declared = {"not_null": ["k", "v"], "unique": one, "unique_rows": unique_rows, "relationships": related}
+                if related:
+                    declared["accepted_values"] = {"v": ["a"]}
+                found = check_report(models, {"child": declared})
+                expected = {("not_null", c, child.filter(f"{c} is null").count()) for c in ("k", "v")}
+                for names in [[c] for c in one]:
+                    expected.add(("unique", names[0], checks.unique(child, names).count()))
+                for names in unique_rows:
+                    expected.add(("unique_rows", ", ".join(names), checks.unique(child, names).count()))
+                for column in related:
+                    orphans = checks.relationships(child, column, parent, "key").collect()
+                    expected.add(("relationships", column, sum(r.n_rows for r in orphans)))
+                if related:
+                    expected.add(("accepted_values", "v", checks.accepted_values(child, "v", ["a"]).count()))
+                assert {(r.check_name, r.column_name, r.n_violations) for r in found.collect()} == expected
+
+
+def test_a_model_is_scanned_once(spark, tmp_path):
+    m = Models(raw(spark, sessions=[session(1)]))
+    stored = {}
+    for name in MODEL_CHECKS:
+        getattr(m, name).write.parquet(str(tmp_path / name))
+        stored[name] = spark.read.parquet(str(tmp_path / name))
+    plan = check_report(stored)._jdf.queryExecution().executedPlan().toString()
+    # besides, each child looks at its parent's keys, which Spark reads once when it runs
+    children = sum(len(declared.get("relationships", {})) for declared in MODEL_CHECKS.values())
+    assert plan.count("FileScan parquet") == len(MODEL_CHECKS) + children
+
+
+def test_nulls_are_counted_while_a_model_is_written(spark, tmp_path):
+    rows = spark.createDataFrame([(1, None), (None, None), (2, "x")], "k int, v string")
+    suite = {"m": {"not_null": ["k", "v"], "unique": ["k"]}}
+    watched = Watched(rows, "m", suite)
+    watched.df.write.parquet(str(tmp_path / "m"))
+    found = report_of_written(spark, [watched], {"m": spark.read.parquet(str(tmp_path / "m"))}, suite).collect()
+    assert {(r.check_name, r.column_name, r.n_violations) for r in found} == {
+        ("not_null", "k", 1), ("not_null", "v", 2), ("unique", "k", 0),
+    }
