@@ -115,6 +115,41 @@ def test_decontamination_finds_all_windows(spark):
     assert none == decontaminate.matches(plain.empty(spark), benchmark).count() == 0
 
 
+def decontamination_cases(spark):
+    """Windows that begin with cheap words, which many items have, and end before dear ones."""
+    rng = random.Random(21)
+    cheap = plain.sentence(rng, 8, 5000)
+    items = [(100 + i, f"{cheap} {plain.sentence(rng, 20 + i % 3, 5000)}") for i in range(40)]
+    rows = []
+    for i, m in enumerate(range(52, 64)):
+        shared = plain.sentence(rng, m, 5000)
+        items.append((i, f"{plain.sentence(rng, 8, 5000)} {shared}"))
+        rows.append((i, f"{plain.sentence(rng, 300 * (i % 3) + 10, 5000)} {cheap} {shared} {plain.sentence(rng, 30, 5000)}"))
+    return rows, items
+
+
+def test_windows_that_start_before_a_shared_shingle(spark):
+    rows, items = decontamination_cases(spark)
+    docs, _ = plain.documents(spark, rows)
+    found = decontaminate.matches(docs, spark.createDataFrame(items, "item_id long, text string")).collect()
+    expected = plain_matches(rows, items)
+    assert {(r.doc_id, r.item_id): r.similarity for r in found} == pytest.approx(expected)
+    assert len(expected) > 5 and min(expected.values()) < 0.82
+
+
+def test_parts_of_a_long_text_and_unhinted_joins_change_nothing(spark, monkeypatch):
+    rows, items = decontamination_cases(spark)
+    rows = [(7, " ".join(t for _, t in rows)), (None, rows[9][1]), rows[8], rows[8]]
+    docs, _ = plain.documents(spark, rows)
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    expected = {k: pytest.approx(v) for k, v in plain_matches(rows, items).items()}
+    monkeypatch.setattr(decontaminate, "SPAN", 1)
+    monkeypatch.setattr(decontaminate, "MOST_BROADCAST", 10)
+    found = decontaminate.matches(docs, benchmark).collect()
+    assert len(found) == len(expected)
+    assert {(r.doc_id, r.item_id): r.similarity for r in found} == expected
+
+
 def test_a_large_benchmark_is_not_broadcast(spark, monkeypatch):
     rng = random.Random(3)
     items = [(i, plain.sentence(rng, 20, 5000)) for i in range(8)]

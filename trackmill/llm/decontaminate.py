@@ -4,18 +4,20 @@ DataFrame functions only. A window has as many words as the item it is compared
 are five words (fewer for shorter items), lower-cased. A shingle weighs more the fewer items have
 it. A document holds an item if a window's weighted Jaccard similarity with it is 0.8 or more.
 
-1. A window that similar starts, or could start without loss, at a shingle of the item. Shingles are
-   found by their longest word: the words of all documents join the longest words of the items'
-   shingles, and whole shingles are compared where one is met.
-2. Every window gets a 64-bit SimHash of its weighted shingles.
+1. A window that similar holds a shingle of the item. Shingles are found by their longest word: the
+   words of all documents join the longest words of the items' shingles, and whole shingles are
+   compared where one is met. Windows start at every word from which they hold one.
+2. Every window gets a 64-bit SimHash of its weighted shingles, unless more than a fifth of its
+   shingles are in no item: these weigh most, so it can be similar to none.
 3. Fingerprints within RADIUS bits agree up to NEAR bits in one of eight blocks. The items' blocks
    are listed with all values that near, windows join them on block and value, and the exact
    Hamming distance is checked. At the border of 0.8, fingerprints differ by 10 bits on average with a
    deviation of 3, so the radius lies more than four deviations out.
 4. The weighted similarity is computed from the whole sets.
 
-Only the benchmark is broadcast, and only up to MOST_BROADCAST rows; a larger one is joined by
-shuffles. Matches of a document meet per item only.
+Only the benchmark is hinted for broadcast, each table of it up to MOST_BROADCAST rows; larger ones are
+joined by shuffles, in which a word takes along its neighbours, not the whole text. Long texts are
+searched in parts of SPAN words or an item's length. Matches of a document meet per item only.
 
 Defined results: null or empty texts and items match nothing; a null doc_id or item_id stays null;
 rows that repeat give one row for each pair of ids; empty tables give no rows; other columns are
@@ -37,6 +39,8 @@ BITS = 64 // BLOCKS
 NEAR = 2
 RADIUS = BLOCKS * (NEAR + 1) - 1
 MOST_BROADCAST = 500_000
+#: Starts of windows that are looked at together.
+SPAN = 256
 
 
 def _words(text: str) -> Column:
@@ -96,9 +100,12 @@ def _near_values() -> list[int]:
 def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, similarity, start (word of the best window) of every pair that matches."""
     items = stored(_items(benchmark))
-    n_items = items.count()
-    small = items.agg(F.coalesce(F.sum("n_words"), F.lit(0))).first()[0] <= MOST_BROADCAST
+    n_items, n_words, reach = items.agg(
+        F.count("*"), F.coalesce(F.sum("n_words"), F.lit(0)), F.coalesce(F.max(F.col("n_words") - F.col("width")), F.lit(0))
+    ).first()
+    small = n_words <= MOST_BROADCAST
     sent = F.broadcast if small else lambda df: df
+    sent_index = F.broadcast if n_items * BLOCKS * len(_near_values()) <= MOST_BROADCAST else lambda df: df
     weights = stored(_weights(items, n_items))
     rest = _weight(F.lit(float(n_items)))
 
@@ -116,22 +123,49 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         longest.alias("word"), F.xxhash64("run").alias("shingle"), "n_words", "width",
         (F.array_position("run", longest) - 1).cast("int").alias("ahead"),
     ).distinct()
-    words = docs.select("doc_id", _words("text").alias("words")).select(
-        "doc_id", "words", F.posexplode("words").alias("at", "word")
-    )
+    key = F.xxhash64("doc_id", "text").alias("key")
+    words = docs.select(key, _words("text").alias("words")).select("key", "words", F.posexplode("words").alias("at", "word"))
+    low = F.lit(0)
+    if not small:
+        low = F.greatest(F.col("at") - (WORDS - 1), F.lit(0))
+        words = words.withColumn("words", F.slice("words", low + 1, 2 * WORDS - 1))
     met = words.join(sent(anchors), "word")
     start = F.col("at") - F.col("ahead")
-    met = met.filter((start >= 0) & (F.xxhash64(F.slice("words", start + 1, F.col("width"))) == F.col("shingle")))
-    windows = stored(
-        met.select(
-            "doc_id", start.alias("start"), "n_words", "width",
-            F.slice("words", start + 1, F.col("n_words")).alias("words"),
-        ).select(
-            F.xxhash64("doc_id", "start", "words", "width", "n_words").alias("window"), "doc_id", "start", "n_words",
-            F.array_distinct(_shingles(F.col("words"), F.col("width"))).alias("shingles"),
-        )
-        .dropDuplicates(["window"])
-    )
+    met = met.filter(
+        (start >= 0) & (F.xxhash64(F.slice("words", start - low + 1, F.col("width"))) == F.col("shingle"))
+    ).select("key", "n_words", "width", "shingle", start.alias("start"))
+    span = max(SPAN, reach + 1)
+    part = F.sequence(
+        F.expr(f"cast(greatest(start - {reach}, 0) div {span} as int)"), F.expr(f"cast(start div {span} as int)")
+    )
+    parts = met.withColumn("part", F.explode(part)).groupBy("key", "part").agg(
+        F.collect_set(F.struct("n_words", "width", "start")).alias("hits"), F.collect_set("shingle").alias("known")
+    )
+    # windows of one part that hold a met shingle: number of words and start in one long
+    first, last = F.col("part") * span, F.col("part") * span + (span - 1)
+    from_, to = lambda h: F.greatest(h["start"] - (h["n_words"] - h["width"]), first), lambda h: F.least(h["start"], last)
+    of_hit = lambda h: F.transform(
+        F.sequence(from_(h), to(h)), lambda s: F.shiftleft(h["n_words"].cast("long"), 32) + s
+    )
+    in_part = F.filter("hits", lambda h: from_(h) <= to(h))
+    near = parts.join(docs.select(key, "doc_id", "text"), "key").select(
+        "doc_id", "part", "known", F.array_distinct(F.flatten(F.transform(in_part, of_hit))).alias("places"),
+        F.slice(_words("text"), first + 1, span + reach + WORDS).alias("words"),
+    )
+    windows = near.select("doc_id", "part", "known", "words", F.explode("places").alias("place")).select(
+        "doc_id", "part", "known", "words", F.expr("cast(place & 4294967295 as int)").alias("start"),
+        F.shiftright("place", 32).cast("int").alias("n_words"),
+    ).select(
+        "doc_id", "start", "n_words", "known", F.least("n_words", F.lit(WORDS)).alias("width"),
+        F.slice("words", F.col("start") - first + 1, F.col("n_words")).alias("words"),
+    )
+    windows = windows.select(
+        F.xxhash64("doc_id", "start", "words", "width", "n_words").alias("window"), "doc_id", "start", "n_words", "known",
+        F.array_distinct(_shingles(F.col("words"), F.col("width"))).alias("shingles"),
+    )
+    unknown = F.size(F.array_except("shingles", "known"))
+    of_all, foreign = SIMILAR[1], SIMILAR[1] - SIMILAR[0]
+    windows = stored(windows.filter(of_all * unknown <= foreign * F.size("shingles")).drop("known").dropDuplicates(["window"]))
 
     # 2. fingerprints
     parts = windows.select("window", F.explode("shingles").alias("shingle"))
@@ -156,7 +190,7 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     asked = prints.select("window", "n_words", "fingerprint", F.explode(numbers).alias("block")).select(
         "window", "n_words", "block", _block("fingerprint").alias("value")
     )
-    candidates = asked.join(sent(index), ["n_words", "block", "value"]).select("window", "item").distinct()
+    candidates = asked.join(sent_index(index), ["n_words", "block", "value"]).select("window", "item").distinct()
     pairs = candidates.join(prints.drop("n_words"), "window").join(sent(item_prints.drop("n_words")), "item")
     pairs = pairs.filter(F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("item_print"))) <= RADIUS)
 
