@@ -50,37 +50,41 @@ WORDS_AT_ONCE = 20_000
 
 
 def _codes(words: list[str], width: int, pad: int) -> np.ndarray:
-    out = np.full((len(words), width), pad, dtype=np.uint32)
-    flat = np.frombuffer("".join(w.ljust(width, "\0") for w in words).encode("utf-32-le"), "<u4")
-    flat = flat.reshape(len(words), width)
-    np.copyto(out, flat, where=flat > 0)
-    return out
+    out = np.array(words, dtype=f"<U{width}").view("<u4").reshape(len(words), width)
+    return np.where(out > 0, out, np.uint32(pad))
 
 
 def kernel(words: list[str], landmarks: list[str], decay: float = DECAY) -> np.ndarray:
     """Subsequence kernel of order three of every word with every landmark."""
     if not words or not landmarks:
         return np.zeros((len(words), len(landmarks)), dtype=np.float32)
-    width = max(map(len, words))
-    text = _codes(words, max(1, width), 0x110000)
+    width = max(1, max(map(len, words)))
+    text = _codes(words, width, 0x110000)
     land = _codes(landmarks, max(map(len, landmarks)), 0x110001)
-    shape = (len(words), *land.shape)
-    steps = np.arange(land.shape[1])
-    spread = np.where(steps[:, None] <= steps, decay ** np.maximum(0, steps - steps[:, None]), 0)
-    spread = spread.astype(np.float32)
-    total = np.zeros(shape[:2], dtype=np.float32)
-    one, two = (np.zeros(shape, dtype=np.float32) for _ in range(2))
+    total = np.zeros((len(words), len(landmarks)), dtype=np.float32)
+    # a word that holds the characters of fewer than three places of a landmark has kernel 0 with it
+    letters = np.unique(land)
+    holds = np.stack([(text == c).any(axis=1) for c in letters], axis=1).astype(np.float32)
+    places = (land[:, :, None] == letters).sum(axis=1).astype(np.float32)
+    which, mark = np.nonzero(holds @ places.T >= 3)
+    text, land = np.ascontiguousarray(text[which].T), np.ascontiguousarray(land[mark].T)
+    found = np.zeros(len(which), dtype=np.float32)
+    one, two = (np.zeros(land.shape, dtype=np.float32) for _ in range(2))
     # sums up to each place of the landmark, of runs of one and two characters seen so far
-    upto_one, upto_two = (np.zeros((*shape[:2], shape[2] + 1), dtype=np.float32) for _ in range(2))
-    for j in range(width):
-        match = (text[:, j, None, None] == land).astype(np.float32) * np.float32(decay**2)
-        total += np.einsum("wml,wml->wm", match, upto_two[:, :, :-1])
-        two *= np.float32(decay)
-        two += match * upto_one[:, :, :-1]
-        one *= np.float32(decay)
+    upto_one, upto_two = (np.zeros((len(land) + 1, len(which)), dtype=np.float32) for _ in range(2))
+    decay = np.float32(decay)
+    for now in text:
+        match = (land == now) * decay**2
+        found += (match * upto_two[:-1]).sum(axis=0)
+        two *= decay
+        two += match * upto_one[:-1]
+        one *= decay
         one += match
-        np.matmul(one, spread, out=upto_one[:, :, 1:])
-        np.matmul(two, spread, out=upto_two[:, :, 1:])
+        for sums, values in ((upto_one, one), (upto_two, two)):
+            for place, value in enumerate(values):
+                np.multiply(sums[place], decay, out=sums[place + 1])
+                sums[place + 1] += value
+    total[which, mark] = found
     return total
 
 
@@ -89,17 +93,19 @@ def similarities(words: list[str], landmarks: list[str]) -> np.ndarray:
     other characters than letters and digits also without these."""
     own = np.diag(kernel(landmarks, landmarks)) if landmarks else np.zeros(0)
     out = np.zeros((len(words), len(landmarks)), dtype=np.float32)
-    parts, whose = [], []
-    for i, word in enumerate(words):
-        for form in {word, "".join(filter(str.isalnum, word))}:
-            for at in range(0, max(1, len(form) - WINDOW // 2), WINDOW // 2):
-                parts.append(form[at : at + WINDOW])
-                whose.append(i)
-    order = sorted(range(len(parts)), key=lambda k: len(parts[k]))
-    for low in range(0, len(order), 1024):
-        some = order[low : low + 1024]
-        found = kernel([parts[k] for k in some], landmarks) / own
-        np.maximum.at(out, np.array([whose[k] for k in some]), found)
+    if not words or not landmarks:
+        return out
+    parts, first = [], []
+    for word in words:
+        first.append(len(parts))
+        for form in (word,) if word.isalnum() else (word, "".join(filter(str.isalnum, word))):
+            parts += [form[at : at + WINDOW] for at in range(0, max(1, len(form) - WINDOW // 2), WINDOW // 2)]
+    order = sorted(range(len(parts)), key=list(map(len, parts)).__getitem__)
+    found = np.zeros((len(parts), len(landmarks)), dtype=np.float32)
+    for low in range(0, len(order), 2048):
+        some = order[low : low + 2048]
+        found[some] = kernel([parts[k] for k in some], landmarks) / own
+    np.maximum.reduceat(found, first, out=out)
     out[out < FAINT] = 0
     return np.minimum(out, 1)
 
@@ -219,7 +225,9 @@ def train(texts: list[set[str]], y: np.ndarray) -> Machine:
     given, texts, y = len(texts), *_with_spoiled(texts, y, landmarks)
     vocabulary = sorted(set().union(*texts))
     place = {w: i for i, w in enumerate(vocabulary)}
-    of = np.array([(place[w], i) for i, t in enumerate(texts) for w in t], dtype=np.int32).reshape(-1, 2)
+    sizes = [len(t) for t in texts]
+    of = np.fromiter((place[w] for t in texts for w in t), np.int32, sum(sizes))
+    of = np.stack([of, np.repeat(np.arange(len(texts), dtype=np.int32), sizes)], axis=1)
     of = of[np.argsort(of[:, 0], kind="stable")]
     shares = np.zeros((len(texts), len(landmarks)), dtype=np.float32)
     for low in range(0, len(vocabulary), WORDS_AT_ONCE):
