@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import pickle
+from collections.abc import Callable, Iterator
+from typing import TypeVar
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from trackmill.sources.tables import work_folder, written
 
+Model = TypeVar("Model")
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -30,6 +35,18 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def fit_in_task(rows: DataFrame, learn: Callable[[pd.DataFrame], Model]) -> Model:
+    """``learn`` of all rows, whose number the caller bounds, in one task: the driver gets the model only."""
+    names = rows.columns
+
+    def fitted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sample = pd.concat([pd.DataFrame(columns=names), *batches], ignore_index=True)
+        yield pd.DataFrame({"model": [pickle.dumps(learn(sample))]})
+
+    found = rows.repartition(1).mapInPandas(fitted, "model binary").collect()
+    return pickle.loads(found[0].model) if found else learn(pd.DataFrame(columns=names))
+
+
 def utf8(texts: pa.ChunkedArray | pa.Array) -> Iterator[bytes]:
     """Each text as UTF-8 bytes; a null is empty."""
     for text in texts:

@@ -22,9 +22,9 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from trackmill.llm.common import table
+from trackmill.llm.common import fit_in_task, table
 
-#: Bound on the labelled rows that the driver fits on.
+#: Bound on the labelled rows that one task fits on.
 MOST_LABELLED = 20_000
 THRESHOLD = 0.3
 
@@ -174,6 +174,13 @@ def _features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         )
 
 
+def _learn(rows: pd.DataFrame) -> Forest:
+    rows = rows.sort_values("label", kind="stable")
+    x = np.stack(rows["x"]) if len(rows) else np.zeros((0, len(STATISTICS)))
+    order = np.lexsort(x.T)  # the same trees whatever order the rows came in
+    return grow(x[order], rows["label"].to_numpy(dtype=float)[order])
+
+
 def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> Forest:
     """Learn ``quality`` from the labelled rows that are not held out."""
     sample = learnable(labels, "quality", held_out(5, 0), most)
@@ -183,12 +190,8 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> Forest
         .dropDuplicates(["doc_id"])
         .select("label", "text")
         .mapInPandas(_features, "label int, x array<double>")
-        .toPandas()
-        .sort_values("label", kind="stable")
     )
-    x = np.stack(rows["x"]) if len(rows) else np.zeros((0, len(STATISTICS)))
-    order = np.lexsort(x.T)  # the same trees whatever order the rows came in
-    return grow(x[order], rows["label"].to_numpy(dtype=float)[order])
+    return fit_in_task(rows, _learn)
 
 
 def score(docs: DataFrame, forest: Forest) -> DataFrame:

@@ -7,7 +7,8 @@ strings that set toxic texts apart, chosen greedily from the labelled ones. A te
 the largest kernel of its words with each landmark, mapped into the landmarks' feature space; a linear
 machine separates the labelled texts, and its margins are turned into probabilities.
 
-Only a bounded sample of labelled texts reaches the driver, as sets of words. Scoring uses whole
+A bounded sample of labelled texts, as sets of words, is learned from in one task; the driver gets the
+machine. Scoring uses whole
 texts; a word met again is looked up.
 
 Defined results: a null or empty text has no words and gets the score of those; labels that are
@@ -27,11 +28,11 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from trackmill.llm.common import batch, table, utf8
+from trackmill.llm.common import batch, fit_in_task, table, utf8
 from trackmill.llm.quality import held_out, learnable
 from trackmill.llm.shingles import lowered, span_hashes, word_spans
 
-#: Bound on the labelled rows that the driver fits on.
+#: Bound on the labelled rows that one task fits on.
 MOST_LABELLED = 4_000
 THRESHOLD = 0.3
 LANDMARKS = 32
@@ -255,6 +256,13 @@ def _word_sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"label": rows["label"], "words": words})
 
 
+def _learn(rows: pd.DataFrame) -> Machine:
+    rows = rows.sort_values(["label", "words"])
+    spelled: dict[str, str] = {}  # every word once in memory
+    texts = [{spelled.setdefault(w, w) for w in words.split()} for words in rows["words"]]
+    return train(texts, rows["label"].to_numpy(dtype=float))
+
+
 def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> Machine:
     """Learn ``toxic`` from the labelled rows that are not held out."""
     sample = learnable(labels, "toxic", held_out(4, 2), most)
@@ -264,12 +272,8 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> Machin
         .dropDuplicates(["doc_id"])
         .select("label", "text")
         .mapInPandas(_word_sets, "label int, words string")
-        .toPandas()
     )
-    rows = rows.sort_values(["label", "words"])
-    spelled: dict[str, str] = {}  # every word once in memory
-    texts = [{spelled.setdefault(w, w) for w in words.split()} for words in rows["words"]]
-    return train(texts, rows["label"].to_numpy(dtype=float))
+    return fit_in_task(rows, _learn)
 
 
 class Describer:
