@@ -165,15 +165,41 @@ def line_rows():
     return [*rows, (None, rows[0][1]), (200, None), (201, ""), (202, "\n \n"), rows[3]]
 
 
-@pytest.mark.parametrize("few", [1, 3])
-def test_line_dedup_is_exact(spark, monkeypatch, few):
+@pytest.mark.parametrize("few, listed", [(3, 128), (1, 128), (1, 0), (1, 2)])
+def test_line_dedup_is_exact(spark, monkeypatch, few, listed):
     monkeypatch.setattr(line_dedup, "FEW", few)
+    monkeypatch.setattr(line_dedup, "LISTED", listed)
     docs, rows = plain.documents(spark, line_rows())
     found = {(r.doc_id, r.line) for r in line_dedup.removed_lines(docs).collect()}
     expected = {(None if i == 1 << 62 else i, n) for i, n in lines_gone(rows)}
     assert found == expected
 
 
+def test_lines_of_one_template_are_exact(spark, monkeypatch):
+    # each line shares its rarest words with many that are not similar enough: all three ways are taken
+    monkeypatch.setattr(line_dedup, "LISTED", 4)
+    monkeypatch.setattr(line_dedup, "PAIRS_AT_ONCE", 50)
+    monkeypatch.setattr(line_dedup, "PAIRS_HELD", 60)
+    rng = random.Random(9)
+    rows = []
+    for i in range(60):
+        words = [f"t{k}" for k in range(17)] + [f"u{rng.randrange(12)}" for _ in range(4)]
+        rows.append((i, " ".join(words) + "\n" + plain.sentence(rng, 8, 20)))
+    docs, rows = plain.documents(spark, rows)
+    found = {(r.doc_id, r.line) for r in line_dedup.removed_lines(docs).collect()}
+    assert found == lines_gone(rows)
+
+
+def test_sets_of_long_texts_and_repeated_words():
+    texts = [b"", b"A b a\n\nb A", b"x " * 200_000 + b"\n" + b" ".join(b"w%d" % i for i in range(200_000)), b"\n"]
+    lines = line_dedup.Lines([1, 2, None, 4], texts)
+    assert lines.sets.size.tolist() == [2, 2, 1, 200_000]
+    assert lines.number.tolist() == [0, 2, 0, 1]
+    assert lines.id.tolist() == [2, 2, line_dedup.NO_ID, line_dedup.NO_ID]
+    assert lines.name[0] == lines.name[1]
+    assert all(len(lines.sets.of(i)) == lines.sets.size[i] for i in range(4))
+
+
 def test_lines_are_cut_from_texts(spark):
     docs, rows = plain.documents(spark, line_rows())
     gone = lines_gone(rows)

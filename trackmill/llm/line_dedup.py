@@ -9,8 +9,9 @@ follow (positional filter), and differ little in size (length filter); a parity
 difference. What passes is verified on the whole sets. Equal lines are one line throughout, so a
 line that a third of all documents hold is sent once a task.
 
-A bucket names a few earliest candidates for each line. Lines with more that were not confirmed
-go through a second pass with all their candidates.
+A bucket names a few earliest candidates for each line and lists further ones, up to a fixed number. Of
+lines that the first do not confirm, those listed are verified too; for lines with still more in a bucket, and
+for them alone, that bucket is made again from the texts and all their candidates are verified.
 
 Defined results: lines without a word stay; a null or empty text has one line without a word; a
 null doc_id comes last; rows that repeat a doc_id share line numbers, and equal lines of the same
@@ -27,15 +28,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from trackmill.llm.common import batch, pack, partitions, slices, stored, table, unpack, utf8
-from trackmill.llm.ngram_join import _dealt, _Given, sql
-from trackmill.llm.shingles import ShingleSets
+from trackmill.llm.ngram_join import _dealt, sql
+from trackmill.llm.shingles import lowered, mix, span_hashes, word_spans
 
 CELLS = 1 << 22  # counters of the sketch: a fixed size whatever the input
 BLOCKS = 64
 FEW = 3  # candidates of a line that a bucket names at first
+LISTED = 128  # and those that it lists beside them
 NARROW, WIDE = 2, 8  # words of a bitmap, for sets of up to LONG words and beyond
 LONG = 160
 PAIRS_AT_ONCE = 1 << 20
+PAIRS_HELD = 1 << 22
 NO_ID = np.iinfo(np.int64).max
 
 
@@ -43,54 +46,102 @@ def _ceil(n: np.ndarray, over: int, under: int) -> np.ndarray:
     return -(-n * over // under)
 
 
+def _sorted_within(owner: np.ndarray, *keys: tuple[np.ndarray, int]) -> np.ndarray:
+    """The order by owner, then by each (key, its bits): one sort of a packed number, unless that leaves
+    out bits that decide."""
+    bits = int(owner[-1]).bit_length() if len(owner) else 0  # owners ascend
+    room, packed = 64 - bits, owner.astype(np.uint64) << np.uint64(64 - bits) if bits else np.zeros(len(owner), np.uint64)
+    for key, width in keys:
+        part = key.astype(np.uint64)
+        packed |= part << np.uint64(room - width) if room >= width else part >> np.uint64(width - room)
+        room -= min(room, width)
+    order = np.argsort(packed)
+    ascending = packed[order]
+    tied = np.flatnonzero(ascending[1:] == ascending[:-1])
+    if any((key[order[tied]] != key[order[tied + 1]]).any() for key, _ in keys):
+        order = np.lexsort((*[key for key, _ in reversed(keys)], owner))
+    return order
+
+
+class Sets:
+    """Sets of hashes end to end, none of them empty."""
+
+    def __init__(self, hashes: np.ndarray, owner: np.ndarray, many: int):
+        self.hashes, self.owner = hashes, owner
+        self.size = np.bincount(owner, minlength=many).astype(np.int64)
+        self.start = np.cumsum(self.size) - self.size
+
+    def of(self, i: int) -> np.ndarray:
+        return self.hashes[self.start[i] : self.start[i] + self.size[i]]
+
+
 class Lines:
     """The lines with words of a batch: owner document, number, set, and a name for the set."""
 
     def __init__(self, doc_ids: list, texts: list[bytes]):
-        lines, doc, number = [], [], []
-        for i, text in enumerate(texts):
-            parts = text.split(b"\n")
-            lines += parts
-            doc += [i] * len(parts)
-            number += range(len(parts))
-        sets = ShingleSets(lines, words=1)
-        self.counts = np.bincount(np.array(doc, dtype=np.int64), minlength=len(texts))
-        some = np.flatnonzero(sets.size)
-        self.doc = np.array(doc, dtype=np.int64)[some]
+        text = lowered(np.frombuffer(b"\n" + b"\n".join(texts) + b"\n", np.uint8))
+        breaks = np.flatnonzero(text == 10)
+        start, end = word_spans(text)
+        hashes = mix(span_hashes(text, start, end))
+        line = np.searchsorted(breaks, start) - 1
+        change = np.append(True, line[1:] != line[:-1])[: len(line)]
+        some, owner = line[change], np.cumsum(change) - 1
+        # a word that a line repeats counts once
+        order = _sorted_within(owner, (hashes, 64))
+        hashes, owner = hashes[order], owner[order]
+        new = np.append(True, (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1]))[: len(hashes)]
+        self.sets = Sets(hashes[new], owner[new], len(some))
+        first = np.cumsum([0] + [t.count(b"\n") + 1 for t in texts])
+        self.doc = np.searchsorted(first, some, "right") - 1
         self.id = np.array([NO_ID if d is None else d for d in doc_ids], dtype=np.int64)[self.doc]
-        self.number = np.array(number, dtype=np.int64)[some]
-        self.name = sets.sums(3)[some]
-        self.sets = _Given([])
-        self.sets.hashes, self.sets.size = sets.hashes, sets.size[some]
-        self.sets.owner = np.repeat(np.arange(len(some)), self.sets.size)
-        self.sets.start = np.cumsum(self.sets.size) - self.sets.size
+        self.number = some - first[self.doc]
+        sums = mix(self.sets.hashes + np.uint64(3))
+        total = np.add.reduceat(sums, self.sets.start) if len(some) else sums
+        self.name = mix(total + self.sets.size.astype(np.uint64))
 
-    def earliest(self) -> np.ndarray:
-        """Places of the first line of each name."""
+    def by_name(self) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the lines by name, the first line of each first, and where each name begins."""
         order = np.lexsort((self.number, self.id, self.name))
         name = self.name[order]
-        return np.sort(order[np.append(True, name[1:] != name[:-1])[: len(order)]])
+        return order, np.flatnonzero(np.append(True, name[1:] != name[:-1])[: len(order)])
+
+    def earliest(self) -> np.ndarray:
+        """Places of the first line of each name."""
+        order, first = self.by_name()
+        return np.sort(order[first])
 
 
 # --- how rare words are ------------------------------------------------------------------------
 
 SKETCH = pa.schema([("block", pa.int64()), ("cells", pa.binary()), ("counts", pa.binary())])
+PLACE = pa.struct([("doc_id", pa.int64()), ("line", pa.int64())])
+READ = pa.schema([("name", pa.int64()), ("places", pa.list_(PLACE)), *SKETCH])
+READ_SQL = f"name long, places array<struct<doc_id: long, line: long>>, {sql(SKETCH)}"
 
 
-def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of two kinds, as the texts are cut once for both: the places of each line, equal lines of a
+    slice together, and the counts of words."""
     cells = np.zeros(CELLS, dtype=np.int64)
     for rows in slices(batches):
         lines = Lines(rows["doc_id"].to_pylist(), list(utf8(rows["text"])))
+        order, first = lines.by_name()
         chosen = np.zeros(len(lines.name), dtype=bool)
-        chosen[lines.earliest()] = True
+        chosen[order[first]] = True
         words = lines.sets.hashes[chosen[lines.sets.owner]]
         cells += np.bincount((words % np.uint64(CELLS)).astype(np.int64), minlength=CELLS)
+        places = pa.StructArray.from_arrays([pa.array(lines.id[order]), pa.array(lines.number[order])], fields=list(PLACE))
+        offsets = pa.array(np.append(first, len(order)), pa.int32())
+        none = {f.name: pa.nulls(len(first), f.type) for f in SKETCH}
+        names = lines.name[order[first]].view(np.int64)
+        yield batch(READ, name=names, places=pa.ListArray.from_arrays(offsets, places), **none)
     each = CELLS // BLOCKS
     for block in range(BLOCKS):
         part = cells[block * each : (block + 1) * each]
         used = np.flatnonzero(part)
         if len(used):
-            yield batch(SKETCH, block=[block], cells=[pack(used, "<u4")], counts=[pack(part[used], "<u4")])
+            values = {"block": [block], "cells": [pack(used, "<u4")], "counts": [pack(part[used], "<u4")]}
+            yield batch(READ, name=[None], places=[None], **values)
 
 
 def _add_blocks(rows: pa.Table) -> pa.Table:
@@ -103,11 +154,9 @@ def _add_blocks(rows: pa.Table) -> pa.Table:
     return pa.table(found, schema=SKETCH)
 
 
-def rarity(docs: DataFrame) -> np.ndarray:
+def rarity(counted: DataFrame) -> np.ndarray:
     """One byte a cell, ascending with the count: CELLS bytes on the driver, at any scale."""
-    rows = (
-        docs.mapInArrow(_count_words, sql(SKETCH)).groupBy("block").applyInArrow(_add_blocks, sql(SKETCH)).collect()
-    )
+    rows = counted.groupBy("block").applyInArrow(_add_blocks, sql(SKETCH)).collect()
     out = np.zeros(CELLS, dtype=np.uint8)
     each = CELLS // BLOCKS
     for row in rows:
@@ -117,175 +166,271 @@ def rarity(docs: DataFrame) -> np.ndarray:
 
 # --- candidates --------------------------------------------------------------------------------
 
-ENTRY = np.dtype(
-    [("word", "<u8"), ("name", "<u8"), ("id", "<i8"), ("line", "<i4"), ("n", "<i4"), ("at", "<i4"), ("wide", "<i4")]
-)
+ENTRY = np.dtype([("word", "<u8"), ("name", "<u8"), ("id", "<i8"), ("line", "<i4"), ("n", "<i4"), ("at", "<i4")])
 ENTRIES = pa.schema([("bucket", pa.int64()), *[(name, pa.binary()) for name in [*ENTRY.names, "bits"]]])
 CANDIDATES = pa.schema(
-    [("name", pa.int64()), ("id", pa.int64()), ("line", pa.int64()), ("other", pa.int64()), ("more", pa.bool_())]
+    [
+        ("bucket", pa.int64()),
+        ("name", pa.int64()),
+        ("other", pa.int64()),
+        ("more", pa.bool_()),  # the bucket has candidates of the line that are not named
+        ("listed", pa.binary()),  # those that it lists, on one row of the line
+        ("over", pa.bool_()),  # and those are not all
+        ("words", pa.binary()),  # if so: the line's words in the bucket
+    ]
 )
 
 
-def _bitmaps(sets: ShingleSets) -> np.ndarray:
-    """Parities of the words by bit, WIDE words a set; two sets differ in as many words at least
-    as their bitmaps differ in bits."""
+def _bitmaps(sets: Sets, words: int) -> np.ndarray:
+    """Parities of the elements by bit, in ``words`` numbers a set; two sets differ in as many elements at
+    least as their bitmaps differ in bits."""
     bit = (sets.hashes >> np.uint64(7)) % np.uint64(WIDE * 64)
-    cell = sets.owner * (WIDE * 64) + bit.astype(np.int64)
-    odd = np.zeros(len(sets.size) * WIDE * 64, dtype=bool)
-    cells, many = np.unique(cell, return_counts=True)
-    odd[cells[many % 2 == 1]] = True
-    return np.packbits(odd, bitorder="little").view("<u8").reshape(-1, WIDE)
+    place, one = (bit >> np.uint64(6)) % np.uint64(words), np.uint64(1) << (bit & np.uint64(63))
+    out = np.zeros((len(sets.size), words), dtype=np.uint64)
+    for k in range(words if len(out) else 0):
+        out[:, k] = np.bitwise_xor.reduceat(np.where(place == k, one, np.uint64(0)), sets.start)
+    return out
 
 
 def _folded(bits: np.ndarray) -> np.ndarray:
     return np.bitwise_xor.reduce(bits.reshape(len(bits), WIDE // NARROW, NARROW), axis=1)
 
 
-def _entries(lines: Lines, chosen: np.ndarray, rank: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
-    sets = lines.sets
-    order = np.lexsort((sets.hashes, rank[sets.hashes % np.uint64(CELLS)], sets.owner))
+def _some(sets: Sets, chosen: np.ndarray) -> Sets:
+    new = np.cumsum(chosen) - 1
+    use = chosen[sets.owner]
+    return Sets(sets.hashes[use], new[sets.owner[use]], int(chosen.sum()))
+
+
+def _entries(
+    lines: Lines, chosen: np.ndarray, rank: np.ndarray, buckets: int, cells: np.ndarray | None
+) -> Iterator[pa.RecordBatch]:
+    if cells is not None:  # only lines and words of these cells
+        hit = cells[lines.sets.hashes % np.uint64(CELLS)]
+        chosen = chosen & (np.bincount(lines.sets.owner[hit], minlength=len(chosen)) > 0)
+    sets, which = _some(lines.sets, chosen), np.flatnonzero(chosen)
+    if not len(which):
+        return
+    order = _sorted_within(sets.owner, (rank[sets.hashes % np.uint64(CELLS)], 8), (sets.hashes, 64))
     word, owner = sets.hashes[order], sets.owner[order]
     at = np.arange(len(word)) - sets.start[owner]
-    use = chosen[owner] & (at < (sets.size - _ceil(sets.size, 4, 5) + 1)[owner])
+    use = at < (sets.size - _ceil(sets.size, 4, 5) + 1)[owner]
     use &= rank[word % np.uint64(CELLS)] > 1  # nothing else has a word that was counted once
+    if cells is not None:
+        use &= cells[word % np.uint64(CELLS)]
     word, owner, at = word[use], owner[use], at[use]
-    bits = np.zeros((len(lines.name), WIDE), dtype=np.uint64)
-    for low in range(0, len(lines.name), 4096):
-        part = slice(low, low + 4096)
-        few = _Given([])
-        few.size = sets.size[part]
-        few.owner = np.repeat(np.arange(len(few.size)), few.size)
-        few.hashes = sets.hashes[sets.start[low] : sets.start[low] + few.size.sum()]
-        bits[part] = _bitmaps(few)
-    narrow, wide = _folded(bits), sets.size > LONG
+    wide = sets.size > LONG
+    narrow, broad, place = _bitmaps(sets, NARROW), _bitmaps(_some(sets, wide), WIDE), np.cumsum(wide) - 1
     for bucket, part in _dealt(word, buckets):
         part = part[np.argsort(owner[part], kind="stable")]
-        whose = owner[part]
-        own = [(bits[o] if wide[o] else narrow[o]).tobytes() for o in whose] if wide[whose].any() else [narrow[whose].tobytes()]
-        values = (
-            word[part], lines.name[whose], lines.id[whose], lines.number[whose], sets.size[whose], at[part], wide[whose],
-        )
+        own = owner[part]
+        whose, long = which[own], wide[own]
+        width = np.where(long, WIDE, NARROW)
+        start = np.cumsum(width) - width
+        bits = np.zeros(width.sum(), dtype=np.uint64)
+        bits[start[~long, None] + np.arange(NARROW)] = narrow[own[~long]]
+        bits[start[long, None] + np.arange(WIDE)] = broad[place[own[long]]]
+        values = (word[part], lines.name[whose], lines.id[whose], lines.number[whose], sets.size[own], at[part])
         columns = {n: [pack(v, ENTRY[n].str)] for n, v in zip(ENTRY.names, values)}
-        yield batch(ENTRIES, bucket=[bucket], bits=[b"".join(own)], **columns)
+        yield batch(ENTRIES, bucket=[bucket], bits=[pack(bits)], **columns)
 
 
-def _send_entries(rank: np.ndarray, buckets: int):
+def _send_entries(rank: np.ndarray, buckets: int, cells: np.ndarray | None = None):
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in slices(batches):
             lines = Lines(rows["doc_id"].to_pylist(), list(utf8(rows["text"])))
             chosen = np.zeros(len(lines.name), dtype=bool)
             chosen[lines.earliest()] = True
-            yield from _entries(lines, chosen, rank, buckets)
+            yield from _entries(lines, chosen, rank, buckets, cells)
 
     return send
 
 
 def _gathered(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """The entries of a bucket by word, one for each word and set, and their bitmaps."""
-    e = np.zeros(sum(len(x) for x in rows["wide"].to_pylist()) // 4, dtype=ENTRY)
+    """The entries of a bucket by word and size, one for each word and set, and their bitmaps; words
+    of one entry are left out."""
+    e = np.zeros(sum(len(x) for x in rows["n"].to_pylist()) // 4, dtype=ENTRY)
     for name in ENTRY.names:
         e[name] = np.frombuffer(b"".join(rows[name].to_pylist()), ENTRY[name].str)
     flat = np.frombuffer(b"".join(rows["bits"].to_pylist()), "<u8")
-    width = np.where(e["wide"] > 0, WIDE, NARROW)
+    width = np.where(e["n"] > LONG, WIDE, NARROW)
     start = np.cumsum(width) - width
+    order = np.argsort(e["word"])
+    same = e["word"][order][1:] == e["word"][order][:-1]
+    order = order[np.append(False, same) | np.append(same, False)] if len(order) else order
+    order = order[np.lexsort([e[k][order] for k in ("line", "id", "name", "n", "word")])]
+    e, start, width = e[order], start[order], width[order]
+    new = np.append(True, (e["word"][1:] != e["word"][:-1]) | (e["name"][1:] != e["name"][:-1]))[: len(e)]
+    e, start, width = e[new], start[new], width[new]
     bits = np.zeros((len(e), WIDE), dtype=np.uint64)
-    for wide, columns in ((1, WIDE), (0, NARROW)):
-        which = np.flatnonzero(e["wide"] == wide)
+    for columns in (NARROW, WIDE):
+        which = np.flatnonzero(width == columns)
         bits[which, :columns] = flat[start[which, None] + np.arange(columns)]
-    order = np.lexsort((e["line"], e["id"], e["name"], e["word"]))
-    e, bits = e[order], bits[order]
-    new = np.append(True, (e["word"][1:] != e["word"][:-1]) | (e["name"][1:] != e["name"][:-1]))[: len(e)]
-    return e[new], bits[new]
-
-
-def _similar_enough(e: np.ndarray, bits: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Which pairs of entries of a word pass all filters; the set of ``x`` is the larger one."""
-    nx, ny = e["n"][x].astype(np.int64), e["n"][y].astype(np.int64)
-    ok = (e["name"][x] != e["name"][y]) & (5 * ny >= 4 * nx)
-    ok &= (nx > ny) | ((nx == ny) & (e["name"][x] > e["name"][y]))
-    needed = _ceil(nx + ny, 4, 9)
-    ok &= e["at"][y] <= ny - _ceil(ny, 8, 9)
-    ok &= np.minimum(nx - e["at"][x], ny - e["at"][y]) >= needed
-    x, y, most = x[ok], y[ok], ((nx + ny) - 2 * needed)[ok]
-    both = (e["wide"][x] > 0) & (e["wide"][y] > 0)
-    a, b = bits[x], bits[y]
-    for side, own in ((x, a), (y, b)):
-        fold = ~both & (e["wide"][side] > 0)
-        own[fold, :NARROW] = _folded(own[fold])
-        own[~both, NARROW:] = 0
-    apart = np.bitwise_count(a ^ b).sum(axis=1)
-    found = np.flatnonzero(ok)
-    return found[apart <= most]
-
-
-def _name_candidates(few: int | None, wanted: bool = False):
-    """In a bucket: earlier candidates of each line; with ``wanted``, of the named lines alone."""
-
-    def named(rows: pa.Table, only: np.ndarray | None) -> pa.Table:
-        e, bits = _gathered(rows)
-        asked = np.ones(len(e), dtype=bool) if only is None else np.isin(e["name"], only)
-        first = np.flatnonzero(np.append(True, e["word"][1:] != e["word"][:-1])[: len(e)])
-        size = np.diff(np.append(first, len(e)))
-        of = np.repeat(np.arange(len(first)), size)
-        # every entry with all of its word, a slice of entries at a time
-        reach, out = size[of] * (size[of] > 1), []
+    return e, bits
+
+
+class Bucket:
+    """Pairs of similar size and bitmap among the lines that have a word in common."""
+
+    def __init__(self, rows: pa.Table):
+        self.e, bits = _gathered(rows)
+        self.n = self.e["n"].astype(np.int64)
+        self.at = self.e["at"].astype(np.int64)
+        wide = self.n > LONG
+        self.wide, self.place, self.broad = wide, np.cumsum(wide) - 1, bits[wide]
+        self.narrow = np.ascontiguousarray(bits[:, :NARROW])
+        self.narrow[wide] = _folded(self.broad)
+        # the lines, by age
+        _, first, self.line = np.unique(self.e["name"], return_index=True, return_inverse=True)
+        own = self.e[first]
+        oldest = np.lexsort((own["name"], own["line"], own["id"]))
+        self.oldest, self.names = oldest, own["name"][oldest].view(np.int64)
+        self.age = np.empty(len(own), dtype=np.int64)
+        self.age[oldest] = np.arange(len(own))
+        self.age = self.age[self.line]
+        self.when = (own["id"][oldest], own["line"][oldest])
+
+    def _reach(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The entries that may be the smaller set of a pair, and for each entry the first and last of them
+        that are of its word, not larger, and not too small."""
+        word = self.e["word"]
+        of = np.cumsum(np.append(False, word[1:] != word[:-1])[: len(word)]) << np.int64(32)
+        key = of + self.n
+        smaller = np.flatnonzero(self.at <= self.n - _ceil(self.n, 8, 9))
+        low = np.searchsorted(key, of + _ceil(self.n, 4, 5))
+        return smaller, np.searchsorted(smaller, low), np.searchsorted(smaller, np.arange(len(word)))
+
+    def _pass(self, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The pairs that the positional filter and the bitmaps leave; the set of ``x`` is the larger."""
+        nx, ny = self.n[x], self.n[y]
+        needed = _ceil(nx + ny, 4, 9)
+        ok = np.minimum(nx - self.at[x], ny - self.at[y]) >= needed
+        x, y, most = x[ok], y[ok], ((nx + ny) - 2 * needed)[ok]
+        ok = np.bitwise_count(self.narrow[x] ^ self.narrow[y]).sum(axis=1) <= most
+        x, y, most = x[ok], y[ok], most[ok]
+        both = np.flatnonzero(self.wide[x] & self.wide[y])
+        apart = np.bitwise_count(self.broad[self.place[x[both]]] ^ self.broad[self.place[y[both]]]).sum(axis=1)
+        ok = np.ones(len(x), dtype=bool)
+        ok[both] = apart <= most[both]
+        return x[ok], y[ok]
+
+    def _cut(self, pairs: list[np.ndarray], most: int | None) -> np.ndarray:
+        """Pairs once each, by line and age of the candidate, of each line the ``most`` earliest."""
+        found = np.unique(np.concatenate([np.zeros(0, dtype=np.int64), *pairs]))
+        if most is None or not len(found):
+            return found
+        line = found // len(self.names)
+        start = np.flatnonzero(np.append(True, line[1:] != line[:-1]))
+        many = np.diff(np.append(start, len(found)))
+        return found[np.arange(len(found)) - np.repeat(start, many) < most]
+
+    def pairs(self, only: np.ndarray | None, most: int | None) -> tuple[np.ndarray, np.ndarray]:
+        """Later and earlier line, as places by age."""
+        asked = np.ones(len(self.names), dtype=bool) if only is None else np.isin(self.names, only)
+        smaller, low, high = self._reach()
+        reach = np.maximum(high - low, 0)
         ends = np.cumsum(reach)
-        low = 0
-        while low < len(e):
-            high = max(low + 1, int(np.searchsorted(ends, (ends[low - 1] if low else 0) + PAIRS_AT_ONCE)))
-            own = np.arange(low, min(high, len(e)))
+        out, held, at = [], 0, 0
+        while at < len(reach):
+            to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + PAIRS_AT_ONCE)))
+            own = np.arange(at, min(to, len(reach)))
             x = np.repeat(own, reach[own])
-            y = np.arange(len(x)) - np.repeat(np.cumsum(reach[own]) - reach[own], reach[own]) + first[of[x]]
-            found = _similar_enough(e, bits, x, y)
-            out.append(np.stack([x[found], y[found]]))
-            low = high
-        x, y = np.concatenate([np.zeros((2, 0), dtype=np.int64), *out], axis=1)
-        before = (e["id"][x] < e["id"][y]) | ((e["id"][x] == e["id"][y]) & (e["line"][x] < e["line"][y]))
-        later, earlier = np.where(before, y, x), np.where(before, x, y)
-        keep = asked[later] & ((e["id"][x] != e["id"][y]) | (e["line"][x] != e["line"][y]))
-        later, earlier = later[keep], earlier[keep]
-        order = np.lexsort((e["name"][earlier], e["line"][earlier], e["id"][earlier], e["name"][later]))
-        later, earlier = later[order], earlier[order]
-        a, b = e["name"][later], e["name"][earlier]
-        fresh = np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]))[: len(a)]
-        later, earlier, a, b = later[fresh], earlier[fresh], a[fresh], b[fresh]
-        start = np.flatnonzero(np.append(True, a[1:] != a[:-1])[: len(a)])
-        many = np.diff(np.append(start, len(a)))
-        place = np.arange(len(a)) - np.repeat(start, many)
-        more = np.repeat(many > few, many) if few else np.zeros(len(a), bool)
-        kept = place < few if few else np.ones(len(a), bool)
+            y = smaller[np.arange(len(x)) - np.repeat(np.cumsum(reach[own]) - reach[own], reach[own]) + low[x]]
+            x, y = self._pass(x, y)
+            later, earlier = np.maximum(self.age[x], self.age[y]), np.minimum(self.age[x], self.age[y])
+            # texts with one id may have different lines of one number: neither is before the other
+            apart = (self.when[0][later] != self.when[0][earlier]) | (self.when[1][later] != self.when[1][earlier])
+            keep = asked[later] & apart
+            out.append(later[keep] * len(self.names) + earlier[keep])
+            held += len(out[-1])
+            if most is not None and held > PAIRS_HELD:
+                out = [self._cut(out, most)]
+                held = len(out[0])
+            at = to
+        return np.divmod(self._cut(out, most), max(1, len(self.names)))
+
+
+def _name_candidates(few: int, listed: int):
+    """In a bucket: a few earliest candidates of each line, and a list of further ones."""
+
+    def named(rows: pa.Table) -> pa.Table:
+        bucket = Bucket(rows)
+        later, earlier = bucket.pairs(None, few + listed + 1)
+        start = np.flatnonzero(np.append(True, later[1:] != later[:-1])[: len(later)])
+        many = np.diff(np.append(start, len(later)))
+        nth = np.arange(len(later)) - np.repeat(start, many)
+        kept = nth < few
+        lists, words = np.full(len(later), None, dtype=object), np.full(len(later), None, dtype=object)
+        for at, n in zip(start[many > few], many[many > few]):
+            lists[at] = pack(bucket.names[earlier[at + few : at + min(n, few + listed)]], "<i8")
+        full = start[many > few + listed]
+        own = np.argsort(bucket.age, kind="stable")
+        for at in full:
+            low, high = np.searchsorted(bucket.age, [later[at], later[at] + 1], sorter=own)
+            words[at] = pack(bucket.e["word"][own[low:high]])
         return pa.table(
             {
-                "name": a[kept].view(np.int64),
-                "id": e["id"][later][kept],
-                "line": e["line"][later][kept].astype(np.int64),
-                "other": b[kept].view(np.int64),
-                "more": more[kept],
+                "bucket": np.full(int(kept.sum()), rows["bucket"][0].as_py()),
+                "name": bucket.names[later[kept]],
+                "other": bucket.names[earlier[kept]],
+                "more": np.repeat(many > few, many)[kept],
+                "listed": pa.array(lists[kept].tolist(), pa.binary()),
+                "over": np.repeat(many > few + listed, many)[kept],
+                "words": pa.array(words[kept].tolist(), pa.binary()),
             },
             schema=CANDIDATES,
         )
 
-    def of_wanted(key, rows: pa.Table, names: pa.Table) -> pa.Table:
-        if not (rows.num_rows and names.num_rows):
-            return CANDIDATES.empty_table()
-        return named(rows, names["name"].to_numpy().view(np.uint64))
+    return named
 
-    def of_all(rows: pa.Table) -> pa.Table:
-        return named(rows, None)
 
-    return of_wanted if wanted else of_all
+NAMED = pa.schema([("name", pa.int64()), ("other", pa.int64())])
 
 
-# --- verification --------------------------------------------------------------------------------
+def _all_candidates(key, rows: pa.Table, asked: pa.Table) -> pa.Table:
+    if not (rows.num_rows and asked.num_rows):
+        return NAMED.empty_table()
+    bucket = Bucket(rows)
+    later, earlier = bucket.pairs(asked["name"].to_numpy(), None)
+    return pa.table({"name": bucket.names[later], "other": bucket.names[earlier]}, schema=NAMED)
 
-LINES = pa.schema([("doc_id", pa.int64()), ("line", pa.int64()), ("name", pa.int64())])
-SETS = pa.schema([("name", pa.int64()), ("words", pa.binary())])
 
+def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for rows in batches:
+        lists = [unpack(x, "<i8") for x in rows["listed"].to_pylist()]
+        names = np.repeat(rows["name"].to_numpy(), [len(x) for x in lists])
+        yield batch(NAMED, name=names, other=np.concatenate([np.zeros(0, np.int64), *lists]))
 
-def _list_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for rows in slices(batches):
-        lines = Lines(rows["doc_id"].to_pylist(), list(utf8(rows["text"])))
-        yield batch(LINES, doc_id=lines.id, line=lines.number, name=lines.name.view(np.int64))
+
+MAP = pa.schema([("block", pa.int64()), ("bits", pa.binary())])
+
+
+def _mark_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    used = np.zeros(CELLS, dtype=bool)
+    for rows in batches:
+        for words in rows["words"].to_pylist():
+            used[unpack(words) % np.uint64(CELLS)] = True
+    for block, part in enumerate(used.reshape(BLOCKS, -1)):
+        if part.any():
+            yield batch(MAP, block=[block], bits=[np.packbits(part).tobytes()])
+
+
+def _join_cells(rows: pa.Table) -> pa.Table:
+    bits = np.bitwise_or.reduce([np.frombuffer(x, np.uint8) for x in rows["bits"].to_pylist()])
+    return pa.table({"block": rows["block"].to_pylist()[:1], "bits": [bits.tobytes()]}, schema=MAP)
+
+
+def _cells(words: DataFrame) -> np.ndarray:
+    """Which cells the words fall in: CELLS bits on the driver, at any scale."""
+    out = np.zeros((BLOCKS, CELLS // BLOCKS), dtype=bool)
+    for row in words.mapInArrow(_mark_cells, sql(MAP)).groupBy("block").applyInArrow(_join_cells, sql(MAP)).collect():
+        out[row["block"]] = np.unpackbits(np.frombuffer(bytes(row["bits"]), np.uint8))
+    return out.reshape(-1)
+
+
+# --- verification --------------------------------------------------------------------------------
+
+SETS = pa.schema([("name", pa.int64()), ("words", pa.binary())])
 
 
 def _wanted_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -304,18 +449,20 @@ def _wanted_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for rows in batches:
-        ok = []
-        for a, b in zip(rows["words"].to_pylist(), rows["other_words"].to_pylist()):
-            a, b = unpack(a), unpack(b)
-            common = int(np.isin(a, b, assume_unique=True).sum())
-            ok.append(5 * common >= 4 * (len(a) + len(b) - common))
-        rows = rows.select(["name", "more"]).append_column("similar", pa.array(ok, pa.bool_()))
-        yield rows
-
-
-def _judged(candidates: DataFrame, texts: DataFrame, first: DataFrame) -> DataFrame:
-    """name, similar, more: whether each candidate pair is similar."""
-    pairs = stored(candidates.groupBy("name", "other").agg(F.bool_or("more").alias("more")))
+        sides = [[unpack(x) for x in rows[c].to_pylist()] for c in ("words", "other_words")]
+        n, m = (np.array([len(x) for x in side], dtype=np.int64) for side in sides)
+        words = np.concatenate([np.zeros(0, np.uint64), *sides[0], *sides[1]])
+        pair = np.concatenate([np.repeat(np.arange(len(n)), n), np.repeat(np.arange(len(m)), m)])
+        order = np.lexsort((words, pair))
+        words, pair = words[order], pair[order]
+        twice = (words[1:] == words[:-1]) & (pair[1:] == pair[:-1])  # a set holds a word once
+        common = np.bincount(pair[1:][twice], minlength=len(n))
+        yield rows.select(["name"]).filter(pa.array(5 * common >= 4 * (n + m - common), pa.bool_()))
+
+
+def _similar(candidates: DataFrame, texts: DataFrame, first: DataFrame) -> DataFrame:
+    """name of each line that is similar to a candidate."""
+    pairs = stored(candidates.select("name", "other").distinct())
     names = pairs.select("name").unionAll(pairs.select("other")).distinct()
     places = first.join(names, "name", "left_semi").groupBy("doc_id").agg(F.collect_set("name").alias("names"))
     # a line's set is read from the document that holds it first
@@ -326,10 +473,8 @@ def _judged(candidates: DataFrame, texts: DataFrame, first: DataFrame) -> DataFr
         .dropDuplicates(["name"])
     )
     others = sets.select(F.col("name").alias("other"), F.col("words").alias("other_words"))
-    return stored(
-        pairs.join(sets, "name").join(others, "other").mapInArrow(_confirm, "name long, more boolean, similar boolean")
-        .groupBy("name").agg(F.bool_or("similar").alias("similar"), F.bool_or("more").alias("more"))
-    )
+    met = pairs.join(sets, "name").join(others, "other")
+    return stored(met.mapInArrow(_confirm, "name long").distinct())
 
 
 def removed_lines(docs: DataFrame) -> DataFrame:
@@ -337,29 +482,33 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     buckets = partitions(docs.sparkSession)
     # a null doc_id is last: the largest number stands for it
     texts = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), "text")
-    rank = rarity(texts)
-    lines = stored(texts.mapInArrow(_list_lines, sql(LINES)))
-    first = lines.groupBy("name").agg(F.min(F.struct("doc_id", "line")).alias("at")).select("name", "at.*")
-    entries = texts.mapInArrow(_send_entries(rank, buckets), sql(ENTRIES))
-    found = entries.groupBy("bucket").applyInArrow(_name_candidates(FEW), sql(CANDIDATES))
-    judged = _judged(found, texts, first)
-    open_ = judged.filter("more and not similar").select("name")
-    repeats = judged.filter("similar").select("name")
-    if not open_.isEmpty():
-        # every bucket gets the names it may hold candidates of
-        asked = open_.withColumn("bucket", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(buckets - 1).cast("long"))))
-        rest = (
-            entries.groupBy("bucket")
-            .cogroup(asked.groupBy("bucket"))
-            .applyInArrow(_name_candidates(None, wanted=True), sql(CANDIDATES))
-        )
-        repeats = repeats.unionAll(_judged(rest, texts, first).filter("similar").select("name"))
+    read = stored(texts.mapInArrow(_read, READ_SQL))
+    rank = rarity(read.filter("block is not null").select("block", "cells", "counts"))
+    lines = read.filter("name is not null").select("name", "places")
+    first = lines.groupBy("name").agg(F.min(F.col("places")[0]).alias("at")).select("name", "at.*")
+    found = stored(
+        texts.mapInArrow(_send_entries(rank, buckets), sql(ENTRIES))
+        .groupBy("bucket")
+        .applyInArrow(_name_candidates(FEW, LISTED), sql(CANDIDATES))
+    )
+    repeats = _similar(found, texts, first)
+    left = stored(found.filter("listed is not null").join(repeats, "name", "left_anti"))
+    if not left.isEmpty():
+        new = _similar(left.select("name", "listed").mapInArrow(_listed, sql(NAMED)), texts, first)
+        repeats = repeats.unionAll(new)
+        left = stored(left.filter("over").join(new, "name", "left_anti").select("bucket", "name", "words"))
+        if not left.isEmpty():
+            entries = texts.mapInArrow(_send_entries(rank, buckets, _cells(left.select("words"))), sql(ENTRIES))
+            asked = left.select("bucket", "name")
+            rest = entries.groupBy("bucket").cogroup(asked.groupBy("bucket")).applyInArrow(_all_candidates, sql(NAMED))
+            repeats = repeats.unionAll(_similar(rest, texts, first))
     fate = first.join(repeats.withColumn("repeats", F.lit(True)), "name", "left").select(
-        "name", F.col("doc_id").alias("first_id"), F.col("line").alias("first_line"), "repeats"
+        "name", F.struct("doc_id", "line").alias("first"), "repeats"
     )
-    later = F.expr("doc_id > first_id or (doc_id = first_id and line > first_line)")
-    gone = lines.join(fate, "name").filter(later | F.col("repeats"))
-    return gone.select(F.nullif("doc_id", F.lit(NO_ID)).alias("doc_id"), "line", "name")
+    # equal lines of a slice are one row until it is known which of them go
+    gone = lines.join(fate, "name").filter("repeats or size(places) > 1 or places[0] > first")
+    gone = gone.select("name", "first", "repeats", F.explode("places").alias("at")).filter("repeats or at > first")
+    return gone.select(F.nullif("at.doc_id", F.lit(NO_ID)).alias("doc_id"), "at.line", "name")
 
 
 def remove_lines(docs: DataFrame) -> DataFrame:
