@@ -42,6 +42,25 @@ def test_pieces_encode_like_whole_texts(encoders, file):
     assert [p.tolist() for p in parts] == [whole(encoder, t) for t in texts]
 
 
+def test_odd_characters_in_any_order(encoders):
+    encoder = encoders[BYTE]
+    rng = random.Random(5)
+    odd = [*"ab Z9.,'!?-_\n\t\r \v\f\x1c\x1f\x85\xa0é\u0301ß中٣½\u2003\u2028\u3000\u200b\u1680\u00ad$€…’<|>/\\~^`\"x  ''sdlrevtm\0"]
+    odd += ["<|endoftext|>", "'s", "'ll", "'re", " '", " \n", "İ", "🙂"]
+    texts = ["".join(rng.choice(odd) for _ in range(rng.randint(0, 40))) for _ in range(8000)]
+    ids, counts = encoder.encode_all([t.encode() for t in texts])
+    parts = np.split(ids, np.cumsum(counts)[:-1])
+    assert [p.tolist() for p in parts] == [whole(encoder, t) for t in texts]
+
+
+def test_a_word_is_learned_once_whatever_marks_follow_it():
+    encoder = PieceEncoder(BYTE, True)
+    words, marks = ["".join(w) for w in itertools.product("abcd", repeat=3)], [".", ",", "!", "?", ";", ":", "..."]
+    text = "".join(f" {w}{m}" for w in words for m in marks)
+    assert encoder.encode_all([text.encode()])[0].tolist() == whole(encoder, text)
+    assert len(encoder.hashes) == len(words) + len(marks)
+
+
 def test_a_full_table_starts_anew(monkeypatch):
     monkeypatch.setattr("trackmill.llm.tokens.KNOWN_PIECES", 50)
     encoder = PieceEncoder(BYTE, True)

@@ -25,13 +25,28 @@ _WHITE_LAST = np.zeros(256, dtype=bool)
 _WHITE_LAST[[*range(0x80, 0x8B), 0x9F, 0xA0, 0xA8, 0xA9, 0xAF]] = True
 _WHITE_BEFORE = np.zeros(256, dtype=bool)
 _WHITE_BEFORE[[0xC2, 0x80, 0x81, 0x9A]] = True
+_GAP = np.zeros(256, dtype=bool)
+_GAP[[*range(9, 14), 32]] = True
+_GAPS = "\t\n\v\f\r "
+_WORD = np.zeros(256, dtype=bool)
+_WORD[list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")] = True
+# an apostrophe may belong to the letters after it ('s, 'll)
+_MARK = np.zeros(256, dtype=bool)
+_MARK[list(b'!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~')] = True
+
+
+def _end_to_end(found: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """All ids in one array, and how many each list has."""
+    count = np.array([len(x) for x in found], dtype=np.int64)
+    return np.fromiter((n for x in found for n in x), dtype=np.uint32, count=int(count.sum())), count
 
 
 class PieceEncoder:
     """Encodes with one tokenizer file.
 
     ``joined``: the tokenizer keeps the space before a word with the word (byte-level BPE). A
-    piece then starts at a space after something that is not white. Otherwise the tokenizer
+    piece then starts at white space after something that is not white, and between an ASCII
+    letter and a mark, on either side, but not after an apostrophe. Otherwise the tokenizer
     drops white space and case: pieces are the words between spaces, tabs and line ends, and
     A-Z are lower-cased.
     """
@@ -43,6 +58,10 @@ class PieceEncoder:
         self.tokenizer = Tokenizer.from_file(file)
         self.tokenizer.encode_special_tokens = True
         self.joined = joined
+        # byte-level tokens have a character for each byte
+        spelled = self.tokenizer.get_vocab()
+        self.n_bytes = np.zeros(max(spelled.values()) + 1, dtype=np.int64)
+        self.n_bytes[list(spelled.values())] = [len(s) for s in spelled]
         self._clear()
 
     def _clear(self) -> None:
@@ -58,7 +77,8 @@ class PieceEncoder:
             before, earlier = text[:-1], np.append(np.uint8(0), text[:-2])
             white = _WHITE[before] | (_WHITE_LAST[before] & _WHITE_BEFORE[earlier])
             starts = np.zeros(len(text), dtype=bool)
-            starts[1:] = (text[1:] == 32) & ~white
+            after = text[1:]
+            starts[1:] = (_GAP[after] & ~white) | (_WORD[before] & _MARK[after]) | (_MARK[before] & _WORD[after])
             starts[begins] = True
             start = np.flatnonzero(starts)
             return start, np.append(start[1:], len(text))
@@ -71,33 +91,45 @@ class PieceEncoder:
         ends[begins[1:] - 1] = ~gap[begins[1:] - 1]
         return np.flatnonzero(starts), np.flatnonzero(ends) + 1
 
-    def _learn(self, pieces: list[str], hashes: np.ndarray) -> None:
-        found: list[list[int]] = [[] for _ in pieces]
-        if self.joined:  # one text made of pieces that may follow each other; the others alone
-            row = [
-                i
-                for i, p in enumerate(pieces)
-                if p[0] == " " and len(p) > 1 and not p[1].isspace() and not p[-1].isspace()
-            ]
-            alone, gap = set(range(len(pieces))).difference(row), ""
-        else:
-            row, alone, gap = range(len(pieces)), (), " "
-        for at in range(0, len(row), 1000):
-            part = row[at : at + 1000]
-            starts = list(accumulate((len(pieces[i]) + len(gap) for i in part), initial=0))
-            one = self.tokenizer.encode(gap.join(pieces[i] for i in part), add_special_tokens=False)
+    def _of_words(self, words: list[str]) -> tuple[list[int], np.ndarray, np.ndarray]:
+        """Words may follow each other, so they are encoded as texts of a thousand."""
+        found: list[list[int]] = [[] for _ in words]
+        for at in range(0, len(words), 1000):
+            part = words[at : at + 1000]
+            starts = list(accumulate((len(w) + 1 for w in part), initial=0))
+            one = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
             for number, (start, _) in zip(one.ids, one.offsets):
-                found[part[bisect_right(starts, start) - 1]].append(number)
-        for i in alone:
-            found[i] = self.tokenizer.encode(pieces[i], add_special_tokens=False).ids
-        count = np.array([len(x) for x in found], dtype=np.int64)
-        new = np.array([n for x in found for n in x], dtype=np.uint32)
+                found[at + bisect_right(starts, start) - 1].append(number)
+        return list(range(len(words))), *_end_to_end(found)
+
+    def _of_pieces(self, pieces: list[str]) -> tuple[list[int], np.ndarray, np.ndarray]:
+        """Texts of a thousand pieces, told apart by the bytes of their ids; a line end goes before words without a gap."""
+        row, alone = [], []
+        for i, p in enumerate(pieces):
+            (alone if p[-1].isspace() or (p[0].isspace() and p[0] not in _GAPS) else row).append(i)
+        ends = self.tokenizer.encode_batch_fast([pieces[i] for i in alone], add_special_tokens=False)
+        ids, count = _end_to_end([one.ids for one in ends])
+        ids, count = [ids], [count]
+        for at in range(0, len(row), 1000):
+            part = [pieces[i] if pieces[i][0] in _GAPS else "\n" + pieces[i] for i in row[at : at + 1000]]
+            one = np.array(self.tokenizer.encode_batch_fast(["".join(part)], add_special_tokens=False)[0].ids, dtype=np.uint32)
+            starts = np.cumsum([0, *(len(p.encode()) for p in part)])
+            stops = np.cumsum(self.n_bytes[one])
+            owner = np.searchsorted(starts, stops - self.n_bytes[one], "right") - 1
+            put = np.array([pieces[i][0] not in _GAPS for i in row[at : at + 1000]])
+            own = ~(put[owner] & (stops - self.n_bytes[one] == starts[owner]))
+            ids.append(one[own])
+            count.append(np.bincount(owner[own], minlength=len(part)))
+        return alone + row, np.concatenate(ids), np.concatenate(count)
+
+    def _learn(self, pieces: list[str], hashes: np.ndarray) -> None:
+        named, new, count = self._of_pieces(pieces) if self.joined else self._of_words(pieces)
         first = self.used + np.cumsum(count) - count
         while self.used + len(new) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
         self.ids[self.used : self.used + len(new)] = new
         self.used += len(new)
-        hashes = np.concatenate([self.hashes, hashes])
+        hashes = np.concatenate([self.hashes, hashes[named]])
         order = np.argsort(hashes, kind="stable")
         self.hashes = hashes[order]
         self.first = np.concatenate([self.first, first])[order]

@@ -48,9 +48,10 @@ class WaveletMatrix:
             plane = np.packbits(bit, bitorder="little")
             planes.append(plane)
             ones.append(cls._directory(plane))
-            low = row[~bit]
+            # places are faster to take than a mask of random bits
+            low = row.take(np.flatnonzero(~bit))
             zeros.append(len(low))
-            row = np.concatenate([low, row[bit]])
+            row = np.concatenate([low, row.take(np.flatnonzero(bit))])
         return cls(len(ids), planes, zeros, ones)
 
     @staticmethod
