@@ -202,6 +202,23 @@ def test_more_languages_than_bits_of_a_word(spark):
     assert names == [x for *_, x in rows]
 
 
+def test_languages_are_counted_by_size_in_tables_of_bytes():
+    rng = np.random.default_rng(5)
+    names = [f"l{i:02}" for i in range(70)]
+    masks = [rng.integers(0, 1 << 63, language.SLOTS, dtype=np.uint64) for _ in range(2)]
+    filters = language.Filters(names, masks, np.zeros(len(names)), 0)
+    kept = language.letters(pa.array(["one two three", None, "é", "a" * 700, "", "x y"]))
+    grams, many = language.ngrams(kept)
+    slots = language._slots(grams)
+    expected = np.zeros((len(kept), len(names)), dtype=int)
+    for j in range(len(names)):
+        held = np.bitwise_and.reduce([masks[j // 64][s] for s in slots]) >> np.uint64(j % 64) & np.uint64(1)
+        np.add.at(expected[:, j], np.repeat(np.arange(len(kept)), many), held.astype(int))
+    found = [filters.counts(*x) for x in language.ngrams_by_size(kept)]
+    assert np.array_equal(np.sum(found, axis=0), expected) and expected.any()
+    assert {t.dtype for t in filters.narrow} == {np.dtype(np.uint8)} and len(filters.narrow) == 9
+
+
 def test_too_many_languages_are_refused(spark, monkeypatch):
     monkeypatch.setattr(language, "MOST_LANGUAGES", 2)
     with pytest.raises(ValueError, match="more than 2 languages"):

@@ -29,6 +29,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +49,10 @@ MOST_LANGUAGES = 256
 #: N-grams that a task counts before it sends them on.
 HELD = 2_000_000
 NONE = "und"
+#: Bytes of text that are looked at together: their n-grams stay in the processor's cache.
+AT_ONCE = 1 << 17
+#: The bits of every byte.
+BITS = np.arange(256)[:, None] >> np.arange(8) & 1
 
 
 def letters(texts: pa.Array | pa.ChunkedArray) -> pa.Array:
@@ -56,32 +61,33 @@ def letters(texts: pa.Array | pa.ChunkedArray) -> pa.Array:
     return pc.replace_substring_regex(pc.binary_join_element_wise("", low, "", " "), r"[^\p{L}]+", " ")
 
 
-def ngrams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The n-grams of ``letters(...)`` end to end, and how many each text has."""
+def ngrams_by_size(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Of each size, the n-grams of ``letters(...)`` end to end, and how many each text has."""
     texts = texts.cast(pa.large_binary())
     offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
     data = texts.buffers()[2]
     text = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]] if data is not None else np.zeros(0, np.uint8)
-    starts, lengths = offsets[:-1] - offsets[0], np.diff(offsets)
-    owner = np.repeat(np.arange(len(lengths)), lengths)
-    found, owners = [], []
+    lengths = np.diff(offsets)
+    left = np.repeat(offsets[1:] - offsets[0], lengths) - np.arange(len(text))  # bytes to the text's end
     value = text.astype(np.uint64)
-    left = np.repeat(starts + lengths, lengths) - np.arange(len(text))  # bytes to the text's end
     grown = value.copy()
     for size in range(2, max(SIZES) + 1):
         grown = (grown[: max(len(text) - size + 1, 0)] << np.uint64(8)) | value[size - 1 :]
         if size in SIZES:
             whole = left[: len(grown)] >= size
-            found.append(grown[whole] | np.uint64(size << 56))
-            owners.append(owner[: len(grown)][whole])
-    grams, owners = np.concatenate(found), np.concatenate(owners)
-    order = np.argsort(owners, kind="stable")
-    return grams[order], np.bincount(owners, minlength=len(lengths))
+            yield grown[whole] | np.uint64(size << 56), np.maximum(lengths - size + 1, 0)
+
+
+def ngrams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The n-grams of ``letters(...)`` end to end, and how many each text has."""
+    grams, many = zip(*ngrams_by_size(texts))
+    owners = np.concatenate([np.repeat(np.arange(len(m)), m) for m in many])
+    return np.concatenate(grams)[np.argsort(owners, kind="stable")], np.sum(many, axis=0)
 
 
 def _slots(grams: np.ndarray) -> list[np.ndarray]:
     spread = mix(grams)
-    return [((spread >> np.uint64(SLOT_BITS * i)) & np.uint64(SLOTS - 1)).astype(np.int64) for i in range(HASHES)]
+    return [((spread >> np.uint64(SLOT_BITS * i)) & np.uint64(SLOTS - 1)).view(np.int64) for i in range(HASHES)]
 
 
 class _Counts:
@@ -91,11 +97,10 @@ class _Counts:
         self.parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         self.held = 0
 
-    def add(self, language: np.ndarray, grams: np.ndarray) -> None:
-        for number in np.unique(language):
-            gram, count = np.unique(grams[language == number], return_counts=True)
-            self.parts.append((np.full(len(gram), number), gram, count))
-            self.held += len(gram)
+    def add(self, number: int, grams: np.ndarray) -> None:
+        gram, count = np.unique(grams, return_counts=True)
+        self.parts.append((np.full(len(gram), number), gram, count))
+        self.held += len(gram)
         if self.held > HELD:
             self.parts = [self.merged()]
             self.held = len(self.parts[0][0])
@@ -117,10 +122,11 @@ def _counted(batches: Iterator[pa.RecordBatch], number: dict[str, int]) -> Itera
         return pa.RecordBatch.from_arrays(arrays, names=["language", "gram", "n"])
 
     for rows in slices(batches):
-        grams, many = ngrams(letters(rows["text"]))
-        language = np.array([number[x] for x in rows["lang"].to_pylist()], dtype=np.int64)
-        if len(grams):
-            counts.add(np.repeat(language, many), grams)
+        texts, language = letters(rows["text"]), np.array([number[x] for x in rows["lang"].to_pylist()])
+        for one in np.unique(language):
+            for grams, _ in ngrams_by_size(texts.filter(pa.array(language == one))):
+                if len(grams):
+                    counts.add(int(one), grams)
         if counts.held > HELD:  # still, after merging: different n-grams
             yield emit()
             counts = _Counts()
@@ -137,28 +143,34 @@ class Filters:
     wrong: np.ndarray
     usual: int
 
+    @cached_property
+    def narrow(self) -> list[np.ndarray]:
+        """The tables cut to bytes: one for every 8 languages, small enough to stay near the processor."""
+        shifts = [divmod(low, 64) for low in range(0, len(self.names), 8)]
+        return [(self.tables[t] >> np.uint64(bit)).astype(np.uint8) for t, bit in shifts]
+
     def counts(self, grams: np.ndarray, many: np.ndarray) -> np.ndarray:
         """How many of each text's n-grams each language's filter holds."""
-        found = np.zeros((len(many), len(self.names)), dtype=np.int64)
+        found = np.zeros((len(many), 8 * len(self.narrow)), dtype=np.int64)
         slots = _slots(grams)
         filled = np.flatnonzero(many)
-        begins = (np.cumsum(many) - many)[filled]
-        for t, masks in enumerate(self.tables):
+        at = np.repeat(np.arange(len(filled)) * 256, many[filled])
+        for t, masks in enumerate(self.narrow):
             hit = masks[slots[0]]
             for slot in slots[1:]:
                 hit &= masks[slot]
-            for bit in range(min(64, len(self.names) - 64 * t)):
-                held = ((hit >> np.uint64(bit)) & np.uint64(1)).astype(np.int64)
-                if len(begins):
-                    found[filled, 64 * t + bit] = np.add.reduceat(held, begins)
-        return found
+            alike = np.bincount(at + hit, minlength=256 * len(filled)).reshape(-1, 256)
+            found[filled, 8 * t : 8 * t + 8] = alike @ BITS
+        return found[:, : len(self.names)]
 
     def decide(self, texts: pa.Array) -> tuple[list[str], np.ndarray]:
         kept = letters(texts)
-        grams, many = ngrams(kept)
         if not self.names:
-            return [NONE] * len(many), np.zeros(len(many))
-        counts = self.counts(grams, many)
+            return [NONE] * len(kept), np.zeros(len(kept))
+        many, counts = np.zeros(len(kept), dtype=np.int64), np.zeros((len(kept), len(self.names)), dtype=np.int64)
+        for grams, own in ngrams_by_size(kept):
+            many += own
+            counts += self.counts(grams, own)
         real = np.maximum((counts - self.wrong * many[:, None]) / (1 - self.wrong), 0)
         best = real.argmax(axis=1)
         total = real.sum(axis=1)
@@ -204,7 +216,7 @@ def predict(docs: DataFrame, filters: Filters) -> DataFrame:
     known = docs.sparkSession.sparkContext.broadcast(filters)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in slices(batches):
+        for rows in slices(batches, AT_ONCE):
             names, score = known.value.decide(rows["text"])
             arrays = [rows["doc_id"].cast(pa.int64()), pa.array(names, pa.string()), pa.array(score)]
             yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "lang_pred", "score"])
