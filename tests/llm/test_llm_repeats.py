@@ -200,6 +200,28 @@ def test_sets_of_long_texts_and_repeated_words():
     assert all(len(lines.sets.of(i)) == lines.sets.size[i] for i in range(4))
 
 
+def test_texts_are_picked_by_id_before_they_are_shuffled(spark):
+    ids = [0, -1, 7, 1 << 40, line_dedup.NO_ID, -(1 << 63), *range(100, 1100)]
+    texts = spark.createDataFrame([(i, f"t{i}") for i in ids], "doc_id long, text string").repartition(5)
+    asked = [*ids[:6], *range(100, 140), 5000]
+    found = line_dedup._with_ids(texts, spark.createDataFrame([(i,) for i in asked], "doc_id long").repartition(3))
+    got = {(r.doc_id, r.text) for r in found.collect()}
+    assert {(i, f"t{i}") for i in ids if i in asked} <= got and len(got) < 60
+    assert line_dedup._with_ids(texts, texts.limit(0)).count() == 0
+
+
+def test_lines_of_given_cells():
+    texts = [t.encode() for _, t in line_rows() if t]
+    every = line_dedup.Lines([*range(len(texts))], texts)
+    cells = np.zeros(line_dedup.CELLS, dtype=bool)
+    cells[every.sets.hashes[::97] % np.uint64(line_dedup.CELLS)] = True
+    some = line_dedup.Lines([*range(len(texts))], texts, cells)
+    hit = [cells[every.sets.of(i) % np.uint64(line_dedup.CELLS)].any() for i in range(len(every.name))]
+    for column in ("name", "id", "number", "doc"):
+        assert getattr(some, column).tolist() == getattr(every, column)[hit].tolist()
+    assert [some.sets.of(i).tolist() for i in range(len(some.name))] == [every.sets.of(i).tolist() for i in np.flatnonzero(hit)]
+
+
 def test_lines_are_cut_from_texts(spark):
     docs, rows = plain.documents(spark, line_rows())
     gone = lines_gone(rows)

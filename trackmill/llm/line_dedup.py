@@ -11,7 +11,8 @@ line that a third of all documents hold is sent once a task.
 
 A bucket names a few earliest candidates for each line and lists further ones, up to a fixed number. Of
 lines that the first do not confirm, those listed are verified too; for lines with still more in a bucket, and
-for them alone, that bucket is made again from the texts and all their candidates are verified.
+for them alone, that bucket is made again from the texts and all their candidates are verified. Sets are read
+from the texts that hold them first; a bitmap of fixed size picks those before they are shuffled.
 
 Defined results: lines without a word stay; a null or empty text has one line without a word; a
 null doc_id comes last; rows that repeat a doc_id share line numbers, and equal lines of the same
@@ -24,6 +25,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -32,6 +34,7 @@ from trackmill.llm.ngram_join import _dealt, sql
 from trackmill.llm.shingles import lowered, mix, span_hashes, word_spans
 
 CELLS = 1 << 22  # counters of the sketch: a fixed size whatever the input
+ID_CELLS = 1 << 25  # and marks of document ids
 BLOCKS = 64
 FEW = 3  # candidates of a line that a bucket names at first
 LISTED = 128  # and those that it lists beside them
@@ -76,14 +79,19 @@ class Sets:
 
 
 class Lines:
-    """The lines with words of a batch: owner document, number, set, and a name for the set."""
+    """The lines with words of a batch, or of those only the lines with a word of given cells: owner
+    document, number, set, and a name for the set."""
 
-    def __init__(self, doc_ids: list, texts: list[bytes]):
+    def __init__(self, doc_ids: list, texts: list[bytes], cells: np.ndarray | None = None):
         text = lowered(np.frombuffer(b"\n" + b"\n".join(texts) + b"\n", np.uint8))
         breaks = np.flatnonzero(text == 10)
         start, end = word_spans(text)
         hashes = mix(span_hashes(text, start, end))
         line = np.searchsorted(breaks, start) - 1
+        if cells is not None:
+            wanted = np.zeros(len(breaks), dtype=bool)
+            wanted[line[cells[hashes % np.uint64(CELLS)]]] = True
+            hashes, line = hashes[wanted[line]], line[wanted[line]]
         change = np.append(True, line[1:] != line[:-1])[: len(line)]
         some, owner = line[change], np.cumsum(change) - 1
         # a word that a line repeats counts once
@@ -205,9 +213,6 @@ def _some(sets: Sets, chosen: np.ndarray) -> Sets:
 def _entries(
     lines: Lines, chosen: np.ndarray, rank: np.ndarray, buckets: int, cells: np.ndarray | None
 ) -> Iterator[pa.RecordBatch]:
-    if cells is not None:  # only lines and words of these cells
-        hit = cells[lines.sets.hashes % np.uint64(CELLS)]
-        chosen = chosen & (np.bincount(lines.sets.owner[hit], minlength=len(chosen)) > 0)
     sets, which = _some(lines.sets, chosen), np.flatnonzero(chosen)
     if not len(which):
         return
@@ -216,7 +221,7 @@ def _entries(
     at = np.arange(len(word)) - sets.start[owner]
     use = at < (sets.size - _ceil(sets.size, 4, 5) + 1)[owner]
     use &= rank[word % np.uint64(CELLS)] > 1  # nothing else has a word that was counted once
-    if cells is not None:
+    if cells is not None:  # only words of these cells
         use &= cells[word % np.uint64(CELLS)]
     word, owner, at = word[use], owner[use], at[use]
     wide = sets.size > LONG
@@ -238,7 +243,7 @@ def _entries(
 def _send_entries(rank: np.ndarray, buckets: int, cells: np.ndarray | None = None):
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in slices(batches):
-            lines = Lines(rows["doc_id"].to_pylist(), list(utf8(rows["text"])))
+            lines = Lines(rows["doc_id"].to_pylist(), list(utf8(rows["text"])), cells)
             chosen = np.zeros(len(lines.name), dtype=bool)
             chosen[lines.earliest()] = True
             yield from _entries(lines, chosen, rank, buckets, cells)
@@ -405,29 +410,54 @@ def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 MAP = pa.schema([("block", pa.int64()), ("bits", pa.binary())])
 
 
-def _mark_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    used = np.zeros(CELLS, dtype=bool)
-    for rows in batches:
-        for words in rows["words"].to_pylist():
-            used[unpack(words) % np.uint64(CELLS)] = True
+def _marks(cells: int, hashes: Iterator[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    used = np.zeros(cells, dtype=bool)
+    for some in hashes:
+        used[some % np.uint64(cells)] = True
     for block, part in enumerate(used.reshape(BLOCKS, -1)):
         if part.any():
             yield batch(MAP, block=[block], bits=[np.packbits(part).tobytes()])
 
 
+def _mark_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return _marks(CELLS, (unpack(words) for rows in batches for words in rows["words"].to_pylist()))
+
+
+def _mark_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return _marks(ID_CELLS, (mix(rows["doc_id"].to_numpy().view(np.uint64)) for rows in batches))
+
+
 def _join_cells(rows: pa.Table) -> pa.Table:
     bits = np.bitwise_or.reduce([np.frombuffer(x, np.uint8) for x in rows["bits"].to_pylist()])
     return pa.table({"block": rows["block"].to_pylist()[:1], "bits": [bits.tobytes()]}, schema=MAP)
 
 
-def _cells(words: DataFrame) -> np.ndarray:
-    """Which cells the words fall in: CELLS bits on the driver, at any scale."""
-    out = np.zeros((BLOCKS, CELLS // BLOCKS), dtype=bool)
-    for row in words.mapInArrow(_mark_cells, sql(MAP)).groupBy("block").applyInArrow(_join_cells, sql(MAP)).collect():
-        out[row["block"]] = np.unpackbits(np.frombuffer(bytes(row["bits"]), np.uint8))
+def _marked(marks: DataFrame, cells: int) -> np.ndarray:
+    """Which cells have a mark: a bit each on the driver, at any scale."""
+    out = np.zeros((BLOCKS, cells // BLOCKS // 8), dtype=np.uint8)
+    for row in marks.groupBy("block").applyInArrow(_join_cells, sql(MAP)).collect():
+        out[row["block"]] = np.frombuffer(bytes(row["bits"]), np.uint8)
     return out.reshape(-1)
 
 
+def _cells(words: DataFrame) -> np.ndarray:
+    """Which cells the words fall in."""
+    return np.unpackbits(_marked(words.mapInArrow(_mark_words, sql(MAP)), CELLS)).astype(bool)
+
+
+def _with_ids(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """The texts whose doc_id is in ``ids``, and few others: what is not wanted is not shuffled."""
+    bits = texts.sparkSession.sparkContext.broadcast(_marked(ids.select("doc_id").mapInArrow(_mark_ids, sql(MAP)), ID_CELLS))
+
+    @F.pandas_udf("boolean")
+    def wanted(doc_id: pd.Series) -> pd.Series:
+        cell = mix(doc_id.to_numpy().view(np.uint64)) % np.uint64(ID_CELLS)
+        byte = bits.value[(cell >> np.uint64(3)).astype(np.int64)]
+        return pd.Series((byte << (cell & np.uint64(7)).astype(np.uint8) & 128) > 0)
+
+    return texts.filter(wanted("doc_id"))
+
+
 # --- verification --------------------------------------------------------------------------------
 
 SETS = pa.schema([("name", pa.int64()), ("words", pa.binary())])
@@ -464,8 +494,9 @@ def _similar(candidates: DataFrame, texts: DataFrame, first: DataFrame) -> DataF
     """name of each line that is similar to a candidate."""
     pairs = stored(candidates.select("name", "other").distinct())
     names = pairs.select("name").unionAll(pairs.select("other")).distinct()
-    places = first.join(names, "name", "left_semi").groupBy("doc_id").agg(F.collect_set("name").alias("names"))
+    places = stored(first.join(names, "name", "left_semi").groupBy("doc_id").agg(F.collect_set("name").alias("names")))
     # a line's set is read from the document that holds it first
+    texts = _with_ids(texts, places)
     sets = stored(
         texts.join(places, texts["doc_id"].eqNullSafe(places["doc_id"]))
         .select(texts["doc_id"], "text", "names")
@@ -485,7 +516,7 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     read = stored(texts.mapInArrow(_read, READ_SQL))
     rank = rarity(read.filter("block is not null").select("block", "cells", "counts"))
     lines = read.filter("name is not null").select("name", "places")
-    first = lines.groupBy("name").agg(F.min(F.col("places")[0]).alias("at")).select("name", "at.*")
+    first = stored(lines.groupBy("name").agg(F.min(F.col("places")[0]).alias("at")).select("name", "at.*"))
     found = stored(
         texts.mapInArrow(_send_entries(rank, buckets), sql(ENTRIES))
         .groupBy("bucket")
