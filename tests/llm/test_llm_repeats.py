@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import plain
+import pyarrow as pa
 import pytest
 
 from trackmill.llm import line_dedup, ngram_join, suffix
@@ -222,6 +223,64 @@ def test_lines_of_given_cells():
     assert [some.sets.of(i).tolist() for i in range(len(some.name))] == [every.sets.of(i).tolist() for i in np.flatnonzero(hit)]
 
 
+@pytest.mark.parametrize("held", [4, 40, 1 << 22])
+def test_lists_are_shorter_where_pairs_do_not_fit(spark, monkeypatch, held):
+    monkeypatch.setattr(line_dedup, "LISTED", 32)
+    monkeypatch.setattr(line_dedup, "LEAST", 2)
+    monkeypatch.setattr(line_dedup, "PAIRS_AT_ONCE", 20)
+    monkeypatch.setattr(line_dedup, "PAIRS_HELD", held)
+    rng = random.Random(11)
+    rows = [(i, " ".join([f"t{k}" for k in range(17)] + [f"u{rng.randrange(12)}" for _ in range(4)])) for i in range(70)]
+    docs, rows = plain.documents(spark, rows)
+    assert {(r.doc_id, r.line) for r in line_dedup.removed_lines(docs).collect()} == lines_gone(rows)
+
+
+def test_sets_of_many_lines_hold_their_words():
+    rng = random.Random(3)
+    texts = [[f"{'w' * rng.choice([0, 1, 7, 8, 9, 63, 64, 70])}{rng.randrange(40)}" for _ in range(rng.randrange(1, 9))] for _ in range(900)]
+    lines = line_dedup.Lines([1], ["\n".join(" ".join(t) for t in texts).encode()])
+    word = {}
+    for i, t in enumerate(texts):
+        one = line_dedup.Lines([1], [" ".join(t).upper().encode()])
+        assert lines.sets.of(i).tolist() == one.sets.of(0).tolist() == sorted(set(one.sets.of(0).tolist()))
+        assert lines.name[i] == one.name[0] and len(set(t)) == lines.sets.size[i]
+        word |= {w: line_dedup.Lines([1], [w.encode()]).sets.of(0)[0] for w in set(t) - set(word)}
+        assert {int(word[w]) for w in t} == set(lines.sets.of(i).tolist())
+    assert len(set(word.values())) == len(word)
+
+
+def test_bitmaps_of_unlike_widths_bound_the_difference():
+    rng = np.random.default_rng(8)
+    pool = rng.integers(0, 1 << 56, 900, dtype=np.uint64)
+    some = [np.sort(rng.choice(pool, n, replace=False)) for n in (3, 64, 65, 160, 161, 400, 401, 800)]
+    sets = line_dedup.Sets(np.concatenate(some), np.repeat(np.arange(8), [len(x) for x in some]), 8)
+    assert line_dedup._widths(sets.size).tolist() == [1, 1, 2, 2, 4, 4, 8, 8]
+    wide = line_dedup._bitmaps(sets, 8)
+    for words in (4, 2, 1):
+        wide = line_dedup._folded(wide)
+        assert wide.tolist() == line_dedup._bitmaps(sets, words).tolist()
+        for i in range(8):
+            for j in range(8):
+                apart = np.bitwise_count(wide[i] ^ wide[j]).sum()
+                assert apart <= len(np.setxor1d(some[i], some[j]))
+
+
+def test_entries_are_small_and_whole():
+    rng = random.Random(4)
+    texts = [" ".join(f"v{rng.randrange(3000)}" for _ in range(rng.randrange(1, 90))) for _ in range(400)]
+    rows = pa.record_batch({"doc_id": pa.array(range(400), pa.int64()), "text": texts})
+    rank = np.full(line_dedup.CELLS, 2, dtype=np.uint8)
+    sent = pa.Table.from_batches(line_dedup._send_entries(rank, 50)(iter([rows])))
+    lines = line_dedup.Lines([*range(400)], [t.encode() for t in texts])
+    size = lines.sets.size[lines.earliest()]
+    prefix = size - -(-size * 4 // 5) + 1
+    entries = [line_dedup._unpacked(x, line_dedup.ENTRY) for x in sent["entries"].to_pylist()]
+    assert len(sent) == 50 and sum(map(len, entries)) == prefix.sum()
+    assert set(np.concatenate(entries)["name"].tolist()) == set(lines.name.tolist())
+    moved = sum(len(pa.compress(x, "lz4_raw", asbytes=True)) for c in ("entries", "bits") for x in sent[c].to_pylist())
+    assert moved < 30 * prefix.sum()  # 36 bytes each before
+
+
 def test_lines_are_cut_from_texts(spark):
     docs, rows = plain.documents(spark, line_rows())
     gone = lines_gone(rows)

@@ -9,10 +9,11 @@ follow (positional filter), and differ little in size (length filter); a parity
 difference. What passes is verified on the whole sets. Equal lines are one line throughout, so a
 line that a third of all documents hold is sent once a task.
 
-A bucket names a few earliest candidates for each line and lists further ones, up to a fixed number. Of
-lines that the first do not confirm, those listed are verified too; for lines with still more in a bucket, and
-for them alone, that bucket is made again from the texts and all their candidates are verified. Sets are read
-from the texts that hold them first; a bitmap of fixed size picks those before they are shuffled.
+A bucket names a few earliest candidates for each line and lists further ones, up to a fixed number, or a
+smaller one where the pairs of the bucket would not fit into memory. Of lines that the first do not confirm,
+those listed are verified too; for lines with still more in a bucket, and for them alone, that bucket is made
+again from the texts and all their candidates are verified. Sets are read from the texts that hold them
+first; a bitmap of fixed size picks those before they are shuffled.
 
 Defined results: lines without a word stay; a null or empty text has one line without a word; a
 null doc_id comes last; rows that repeat a doc_id share line numbers, and equal lines of the same
@@ -31,39 +32,40 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from trackmill.llm.common import batch, pack, partitions, slices, stored, table, unpack, utf8
 from trackmill.llm.ngram_join import _dealt, sql
-from trackmill.llm.shingles import lowered, mix, span_hashes, word_spans
+from trackmill.llm.shingles import mix, span_hashes, word_spans
 
 CELLS = 1 << 22  # counters of the sketch: a fixed size whatever the input
 ID_CELLS = 1 << 25  # and marks of document ids
 BLOCKS = 64
+OWNERS_AT_ONCE = 256
+WORD_BYTES = 64  # longer words are hashed another way
 FEW = 3  # candidates of a line that a bucket names at first
-LISTED = 128  # and those that it lists beside them
-NARROW, WIDE = 2, 8  # words of a bitmap, for sets of up to LONG words and beyond
-LONG = 160
-PAIRS_AT_ONCE = 1 << 20
+LISTED = 1024  # and those that it lists beside them
+LEAST = 128  # where so many pairs would not fit
+WIDTHS = (1, 2, 4, 8)  # words of a bitmap, for sets of up to so many words and beyond
+LONG = (64, 160, 400)
+PAIRS_AT_ONCE = 1 << 18
 PAIRS_HELD = 1 << 22
 NO_ID = np.iinfo(np.int64).max
 
 
+LOW_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], dtype=np.uint64)  # masks of the first n bytes
+
+
 def _ceil(n: np.ndarray, over: int, under: int) -> np.ndarray:
     return -(-n * over // under)
 
 
-def _sorted_within(owner: np.ndarray, *keys: tuple[np.ndarray, int]) -> np.ndarray:
-    """The order by owner, then by each (key, its bits): one sort of a packed number, unless that leaves
-    out bits that decide."""
-    bits = int(owner[-1]).bit_length() if len(owner) else 0  # owners ascend
-    room, packed = 64 - bits, owner.astype(np.uint64) << np.uint64(64 - bits) if bits else np.zeros(len(owner), np.uint64)
-    for key, width in keys:
-        part = key.astype(np.uint64)
-        packed |= part << np.uint64(room - width) if room >= width else part >> np.uint64(width - room)
-        room -= min(room, width)
-    order = np.argsort(packed)
-    ascending = packed[order]
-    tied = np.flatnonzero(ascending[1:] == ascending[:-1])
-    if any((key[order[tied]] != key[order[tied + 1]]).any() for key, _ in keys):
-        order = np.lexsort((*[key for key, _ in reversed(keys)], owner))
-    return order
+def _sorted_within(owner: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Keys of up to 56 bits, ascending within their owner; owners ascend. Some owners at a time, each
+    named by a byte above its keys, so that plain numbers are sorted."""
+    high = np.uint64(56)
+    packed = (owner.astype(np.uint64) << high) | keys
+    many = int(owner[-1]) + 1 if len(owner) else 0
+    edges = np.searchsorted(owner, np.arange(0, many + OWNERS_AT_ONCE, OWNERS_AT_ONCE))
+    for low, end in zip(edges[:-1], edges[1:]):
+        packed[low:end].sort()
+    return packed & ((np.uint64(1) << high) - np.uint64(1))
 
 
 class Sets:
@@ -78,15 +80,35 @@ class Sets:
         return self.hashes[self.start[i] : self.start[i] + self.size[i]]
 
 
+def _word_hashes(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """56-bit hashes of the words of a text that begins and ends with a space, and where they start."""
+    start, end = word_spans(text)
+    size = end - start
+    eights = np.ndarray(len(text), "<u8", buffer=text.tobytes() + bytes(8), strides=(1,))  # from any byte on
+    left = np.clip(size, 0, 8).astype(np.uint64)
+    hashes = mix((eights[start] & LOW_BYTES[left]) + size.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    long = np.flatnonzero((size > 8) & (size <= WORD_BYTES))
+    at = 8
+    while len(long):
+        left = np.minimum(size[long] - at, 8)
+        hashes[long] = mix(hashes[long] + (eights[start[long] + at] & LOW_BYTES[left]))
+        at += 8
+        long = long[size[long] > at]
+    longest = np.flatnonzero(size > WORD_BYTES)
+    if len(longest):
+        hashes[longest] = mix(span_hashes(text, start[longest], end[longest]))
+    return hashes >> np.uint64(8), start
+
+
 class Lines:
     """The lines with words of a batch, or of those only the lines with a word of given cells: owner
     document, number, set, and a name for the set."""
 
     def __init__(self, doc_ids: list, texts: list[bytes], cells: np.ndarray | None = None):
-        text = lowered(np.frombuffer(b"\n" + b"\n".join(texts) + b"\n", np.uint8))
+        # bytes.lower changes A-Z alone
+        text = np.frombuffer((b"\n" + b"\n".join(texts) + b"\n").lower(), np.uint8)
         breaks = np.flatnonzero(text == 10)
-        start, end = word_spans(text)
-        hashes = mix(span_hashes(text, start, end))
+        hashes, start = _word_hashes(text)
         line = np.searchsorted(breaks, start) - 1
         if cells is not None:
             wanted = np.zeros(len(breaks), dtype=bool)
@@ -95,8 +117,7 @@ class Lines:
         change = np.append(True, line[1:] != line[:-1])[: len(line)]
         some, owner = line[change], np.cumsum(change) - 1
         # a word that a line repeats counts once
-        order = _sorted_within(owner, (hashes, 64))
-        hashes, owner = hashes[order], owner[order]
+        hashes = _sorted_within(owner, hashes)
         new = np.append(True, (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1]))[: len(hashes)]
         self.sets = Sets(hashes[new], owner[new], len(some))
         first = np.cumsum([0] + [t.count(b"\n") + 1 for t in texts])
@@ -121,6 +142,16 @@ class Lines:
 
 # --- how rare words are ------------------------------------------------------------------------
 
+
+def _packed(values: np.ndarray) -> bytes:
+    """First bytes of all values, then second ones: most of the upper bytes are zero or equal."""
+    return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T).tobytes()
+
+
+def _unpacked(blob: bytes, kind: np.dtype) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(blob, np.uint8).reshape(kind.itemsize, -1).T).view(kind).reshape(-1)
+
+
 SKETCH = pa.schema([("block", pa.int64()), ("cells", pa.binary()), ("counts", pa.binary())])
 PLACE = pa.struct([("doc_id", pa.int64()), ("line", pa.int64())])
 READ = pa.schema([("name", pa.int64()), ("places", pa.list_(PLACE)), *SKETCH])
@@ -143,19 +174,17 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         none = {f.name: pa.nulls(len(first), f.type) for f in SKETCH}
         names = lines.name[order[first]].view(np.int64)
         yield batch(READ, name=names, places=pa.ListArray.from_arrays(offsets, places), **none)
-    each = CELLS // BLOCKS
-    for block in range(BLOCKS):
-        part = cells[block * each : (block + 1) * each]
-        used = np.flatnonzero(part)
-        if len(used):
-            values = {"block": [block], "cells": [pack(used, "<u4")], "counts": [pack(part[used], "<u4")]}
-            yield batch(READ, name=[None], places=[None], **values)
+    for block, part in enumerate(cells.reshape(BLOCKS, -1)):
+        used = part > 0
+        if used.any():
+            values = {"cells": [np.packbits(used).tobytes()], "counts": [_packed(part[used].astype("<u4"))]}
+            yield batch(READ, name=[None], places=[None], block=[block], **values)
 
 
 def _add_blocks(rows: pa.Table) -> pa.Table:
     total = np.zeros(CELLS // BLOCKS, dtype=np.int64)
     for cells, counts in zip(rows["cells"].to_pylist(), rows["counts"].to_pylist()):
-        total[unpack(cells, "<u4")] += unpack(counts, "<u4")
+        total[np.unpackbits(np.frombuffer(cells, np.uint8)).astype(bool)] += _unpacked(counts, np.dtype("<u4"))
     # two digits and an exponent order words well enough in a byte
     steps = np.minimum(255, np.where(total < 16, total, 16 + np.log2(np.maximum(total, 16) / 16) * 12))
     found = {"block": rows["block"].to_pylist()[:1], "cells": [b""], "counts": [pack(steps, "u1")]}
@@ -174,25 +203,30 @@ def rarity(counted: DataFrame) -> np.ndarray:
 
 # --- candidates --------------------------------------------------------------------------------
 
-ENTRY = np.dtype([("word", "<u8"), ("name", "<u8"), ("id", "<i8"), ("line", "<i4"), ("n", "<i4"), ("at", "<i4")])
-ENTRIES = pa.schema([("bucket", pa.int64()), *[(name, pa.binary()) for name in [*ENTRY.names, "bits"]]])
+ENTRY = np.dtype([("word", "<u4"), ("name", "<u8"), ("id", "<i8"), ("line", "<i4"), ("n", "<i4"), ("at", "<i4")])
+ENTRIES = pa.schema([("bucket", pa.int64()), ("entries", pa.binary()), ("bits", pa.binary())])
 CANDIDATES = pa.schema(
     [
         ("bucket", pa.int64()),
         ("name", pa.int64()),
+        ("id", pa.int64()),
         ("other", pa.int64()),
-        ("more", pa.bool_()),  # the bucket has candidates of the line that are not named
-        ("listed", pa.binary()),  # those that it lists, on one row of the line
+        ("other_id", pa.int64()),
+        ("listed", pa.binary()),  # further candidates in the bucket and then their ids, on one row of the line
         ("over", pa.bool_()),  # and those are not all
         ("words", pa.binary()),  # if so: the line's words in the bucket
     ]
 )
 
 
+def _widths(n: np.ndarray) -> np.ndarray:
+    return np.array(WIDTHS)[np.searchsorted(LONG, n)]
+
+
 def _bitmaps(sets: Sets, words: int) -> np.ndarray:
     """Parities of the elements by bit, in ``words`` numbers a set; two sets differ in as many elements at
     least as their bitmaps differ in bits."""
-    bit = (sets.hashes >> np.uint64(7)) % np.uint64(WIDE * 64)
+    bit = sets.hashes >> np.uint64(7)
     place, one = (bit >> np.uint64(6)) % np.uint64(words), np.uint64(1) << (bit & np.uint64(63))
     out = np.zeros((len(sets.size), words), dtype=np.uint64)
     for k in range(words if len(out) else 0):
@@ -201,7 +235,9 @@ def _bitmaps(sets: Sets, words: int) -> np.ndarray:
 
 
 def _folded(bits: np.ndarray) -> np.ndarray:
-    return np.bitwise_xor.reduce(bits.reshape(len(bits), WIDE // NARROW, NARROW), axis=1)
+    """Bitmaps of half the width."""
+    half = bits.shape[1] // 2
+    return bits[:, :half] ^ bits[:, half:]
 
 
 def _some(sets: Sets, chosen: np.ndarray) -> Sets:
@@ -216,28 +252,37 @@ def _entries(
     sets, which = _some(lines.sets, chosen), np.flatnonzero(chosen)
     if not len(which):
         return
-    order = _sorted_within(sets.owner, (rank[sets.hashes % np.uint64(CELLS)], 8), (sets.hashes, 64))
-    word, owner = sets.hashes[order], sets.owner[order]
+    # the order is that of 48 bits of a hash, which is one order for all sets even where those are equal
+    rarest = rank[sets.hashes % np.uint64(CELLS)].astype(np.uint64) << np.uint64(48)
+    word, owner = _sorted_within(sets.owner, rarest | (sets.hashes & np.uint64((1 << 48) - 1))), sets.owner
     at = np.arange(len(word)) - sets.start[owner]
-    use = at < (sets.size - _ceil(sets.size, 4, 5) + 1)[owner]
-    use &= rank[word % np.uint64(CELLS)] > 1  # nothing else has a word that was counted once
+    front = np.flatnonzero(at < (sets.size - _ceil(sets.size, 4, 5) + 1)[owner])
+    use = word[front] >> np.uint64(48) > 1  # nothing else has a word that was counted once
     if cells is not None:  # only words of these cells
-        use &= cells[word % np.uint64(CELLS)]
-    word, owner, at = word[use], owner[use], at[use]
-    wide = sets.size > LONG
-    narrow, broad, place = _bitmaps(sets, NARROW), _bitmaps(_some(sets, wide), WIDE), np.cumsum(wide) - 1
+        use &= cells[word[front] % np.uint64(CELLS)]
+    word, owner, at = word[front[use]], owner[front[use]], at[front[use]]
+    word &= np.uint64((1 << 48) - 1)
+    e = np.zeros(len(word), dtype=ENTRY)
+    e["word"], e["n"], e["at"] = word & np.uint64(0xFFFFFFFF), sets.size[owner], at
+    for name, values in (("name", lines.name), ("id", lines.id), ("line", lines.number)):
+        e[name] = values[which][owner]
+    # the bitmaps of all lines end to end
+    width = _widths(sets.size)
+    start = np.cumsum(width) - width
+    bits = np.zeros(width.sum(), dtype=np.uint64)
+    for words in WIDTHS:
+        chosen = width == words
+        if chosen.any():
+            bits[start[chosen, None] + np.arange(words)] = _bitmaps(_some(sets, chosen), words)
+    found = {"bucket": [], "entries": [], "bits": []}
     for bucket, part in _dealt(word, buckets):
-        part = part[np.argsort(owner[part], kind="stable")]
-        own = owner[part]
-        whose, long = which[own], wide[own]
-        width = np.where(long, WIDE, NARROW)
-        start = np.cumsum(width) - width
-        bits = np.zeros(width.sum(), dtype=np.uint64)
-        bits[start[~long, None] + np.arange(NARROW)] = narrow[own[~long]]
-        bits[start[long, None] + np.arange(WIDE)] = broad[place[own[long]]]
-        values = (word[part], lines.name[whose], lines.id[whose], lines.number[whose], sets.size[own], at[part])
-        columns = {n: [pack(v, ENTRY[n].str)] for n, v in zip(ENTRY.names, values)}
-        yield batch(ENTRIES, bucket=[bucket], bits=[pack(bits)], **columns)
+        own = owner[part]  # lines in order, as an order by rarity keeps them so
+        many = width[own]
+        end = np.cumsum(many)
+        found["bucket"].append(bucket)
+        found["entries"].append(_packed(e[part]))
+        found["bits"].append(pack(bits[np.arange(end[-1]) + np.repeat(start[own] - end + many, many)]))
+    yield batch(ENTRIES, **found)
 
 
 def _send_entries(rank: np.ndarray, buckets: int, cells: np.ndarray | None = None):
@@ -251,40 +296,48 @@ def _send_entries(rank: np.ndarray, buckets: int, cells: np.ndarray | None = Non
     return send
 
 
-def _gathered(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """The entries of a bucket by word and size, one for each word and set, and their bitmaps; words
-    of one entry are left out."""
-    e = np.zeros(sum(len(x) for x in rows["n"].to_pylist()) // 4, dtype=ENTRY)
-    for name in ENTRY.names:
-        e[name] = np.frombuffer(b"".join(rows[name].to_pylist()), ENTRY[name].str)
-    flat = np.frombuffer(b"".join(rows["bits"].to_pylist()), "<u8")
-    width = np.where(e["n"] > LONG, WIDE, NARROW)
+def _gathered(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The entries of a bucket by word and size, one for each word and set; words of one entry are left
+    out. All bitmaps, and where that of each entry begins."""
+    e = np.concatenate([_unpacked(x, ENTRY) for x in rows["entries"].to_pylist()])
+    bits = np.frombuffer(b"".join(rows["bits"].to_pylist()), "<u8")
+    width = _widths(e["n"])
     start = np.cumsum(width) - width
     order = np.argsort(e["word"])
-    same = e["word"][order][1:] == e["word"][order][:-1]
+    word = e["word"][order]
+    same = word[1:] == word[:-1]
     order = order[np.append(False, same) | np.append(same, False)] if len(order) else order
-    order = order[np.lexsort([e[k][order] for k in ("line", "id", "name", "n", "word")])]
-    e, start, width = e[order], start[order], width[order]
-    new = np.append(True, (e["word"][1:] != e["word"][:-1]) | (e["name"][1:] != e["name"][:-1]))[: len(e)]
-    e, start, width = e[new], start[new], width[new]
-    bits = np.zeros((len(e), WIDE), dtype=np.uint64)
-    for columns in (NARROW, WIDE):
-        which = np.flatnonzero(width == columns)
-        bits[which, :columns] = flat[start[which, None] + np.arange(columns)]
-    return e, bits
+    key = (e["word"][order].astype(np.uint64) << np.uint64(32)) | e["n"][order].astype(np.uint64)
+    order = order[np.lexsort((e["name"][order], key))]
+    word, name = e["word"][order], e["name"][order]
+    new = np.append(True, (word[1:] != word[:-1]) | (name[1:] != name[:-1]))[: len(order)]
+    # of equal lines the earliest
+    again = np.flatnonzero(~new | np.append(~new[1:], False))
+    copies = order[again]
+    order[again] = copies[np.lexsort((e["line"][copies], e["id"][copies], np.cumsum(new)[again]))]
+    order = order[new]
+    return e[order], bits, start[order]
 
 
 class Bucket:
     """Pairs of similar size and bitmap among the lines that have a word in common."""
 
     def __init__(self, rows: pa.Table):
-        self.e, bits = _gathered(rows)
+        self.e, bits, start = _gathered(rows)
         self.n = self.e["n"].astype(np.int64)
         self.at = self.e["at"].astype(np.int64)
-        wide = self.n > LONG
-        self.wide, self.place, self.broad = wide, np.cumsum(wide) - 1, bits[wide]
-        self.narrow = np.ascontiguousarray(bits[:, :NARROW])
-        self.narrow[wide] = _folded(self.broad)
+        # a bitmap in every width that it has, by width: whose, where, and the bitmaps
+        self.bits, width, wider = [], _widths(self.n), None
+        for words in reversed(WIDTHS):
+            there = width >= words
+            place = np.cumsum(there) - 1
+            level = np.zeros((int(there.sum()), words), dtype=np.uint64)
+            own = width[there] == words
+            level[own] = bits[start[there][own, None] + np.arange(words)]
+            if wider is not None:
+                level[~own] = _folded(wider)
+            self.bits.insert(0, (there, place, level))
+            wider = level
         # the lines, by age
         _, first, self.line = np.unique(self.e["name"], return_index=True, return_inverse=True)
         own = self.e[first]
@@ -311,13 +364,13 @@ class Bucket:
         needed = _ceil(nx + ny, 4, 9)
         ok = np.minimum(nx - self.at[x], ny - self.at[y]) >= needed
         x, y, most = x[ok], y[ok], ((nx + ny) - 2 * needed)[ok]
-        ok = np.bitwise_count(self.narrow[x] ^ self.narrow[y]).sum(axis=1) <= most
-        x, y, most = x[ok], y[ok], most[ok]
-        both = np.flatnonzero(self.wide[x] & self.wide[y])
-        apart = np.bitwise_count(self.broad[self.place[x[both]]] ^ self.broad[self.place[y[both]]]).sum(axis=1)
-        ok = np.ones(len(x), dtype=bool)
-        ok[both] = apart <= most[both]
-        return x[ok], y[ok]
+        for there, place, bits in self.bits:
+            both = np.flatnonzero(there[x] & there[y])
+            apart = np.bitwise_count(bits[place[x[both]]] ^ bits[place[y[both]]]).sum(axis=1)
+            ok = np.ones(len(x), dtype=bool)
+            ok[both] = apart <= most[both]
+            x, y, most = x[ok], y[ok], most[ok]
+        return x, y
 
     def _cut(self, pairs: list[np.ndarray], most: int | None) -> np.ndarray:
         """Pairs once each, by line and age of the candidate, of each line the ``most`` earliest."""
@@ -329,8 +382,9 @@ class Bucket:
         many = np.diff(np.append(start, len(found)))
         return found[np.arange(len(found)) - np.repeat(start, many) < most]
 
-    def pairs(self, only: np.ndarray | None, most: int | None) -> tuple[np.ndarray, np.ndarray]:
-        """Later and earlier line, as places by age."""
+    def pairs(self, only: np.ndarray | None, most: int | None, least: int = 0) -> tuple[np.ndarray, np.ndarray, int | None]:
+        """Later and earlier line, as places by age; of a line the ``most`` earliest, or fewer, but ``least``,
+        where those are too many to hold. How many that are in the end."""
         asked = np.ones(len(self.names), dtype=bool) if only is None else np.isin(self.names, only)
         smaller, low, high = self._reach()
         reach = np.maximum(high - low, 0)
@@ -350,24 +404,30 @@ class Bucket:
             held += len(out[-1])
             if most is not None and held > PAIRS_HELD:
                 out = [self._cut(out, most)]
+                while len(out[0]) > PAIRS_HELD // 2 and most > least:
+                    most = max(least, most // 2)
+                    out = [self._cut(out, most)]
                 held = len(out[0])
             at = to
-        return np.divmod(self._cut(out, most), max(1, len(self.names)))
+        return *np.divmod(self._cut(out, most), max(1, len(self.names))), most
 
 
-def _name_candidates(few: int, listed: int):
+def _name_candidates(few: int, most: int, least: int):
     """In a bucket: a few earliest candidates of each line, and a list of further ones."""
 
     def named(rows: pa.Table) -> pa.Table:
         bucket = Bucket(rows)
-        later, earlier = bucket.pairs(None, few + listed + 1)
+        later, earlier, held = bucket.pairs(None, few + most + 1, few + min(most, least) + 1)
+        listed = held - few - 1
         start = np.flatnonzero(np.append(True, later[1:] != later[:-1])[: len(later)])
         many = np.diff(np.append(start, len(later)))
         nth = np.arange(len(later)) - np.repeat(start, many)
         kept = nth < few
         lists, words = np.full(len(later), None, dtype=object), np.full(len(later), None, dtype=object)
+        ids = bucket.when[0]
         for at, n in zip(start[many > few], many[many > few]):
-            lists[at] = pack(bucket.names[earlier[at + few : at + min(n, few + listed)]], "<i8")
+            further = earlier[at + few : at + min(n, few + listed)]
+            lists[at] = pack(np.append(bucket.names[further], ids[further]), "<i8")
         full = start[many > few + listed]
         own = np.argsort(bucket.age, kind="stable")
         for at in full:
@@ -377,8 +437,9 @@ def _name_candidates(few: int, listed: int):
             {
                 "bucket": np.full(int(kept.sum()), rows["bucket"][0].as_py()),
                 "name": bucket.names[later[kept]],
+                "id": ids[later[kept]],
                 "other": bucket.names[earlier[kept]],
-                "more": np.repeat(many > few, many)[kept],
+                "other_id": ids[earlier[kept]],
                 "listed": pa.array(lists[kept].tolist(), pa.binary()),
                 "over": np.repeat(many > few + listed, many)[kept],
                 "words": pa.array(words[kept].tolist(), pa.binary()),
@@ -389,22 +450,26 @@ def _name_candidates(few: int, listed: int):
     return named
 
 
-NAMED = pa.schema([("name", pa.int64()), ("other", pa.int64())])
+NAMED = pa.schema([("name", pa.int64()), ("id", pa.int64()), ("other", pa.int64()), ("other_id", pa.int64())])
 
 
 def _all_candidates(key, rows: pa.Table, asked: pa.Table) -> pa.Table:
     if not (rows.num_rows and asked.num_rows):
         return NAMED.empty_table()
     bucket = Bucket(rows)
-    later, earlier = bucket.pairs(asked["name"].to_numpy(), None)
-    return pa.table({"name": bucket.names[later], "other": bucket.names[earlier]}, schema=NAMED)
+    later, earlier, _ = bucket.pairs(asked["name"].to_numpy(), None)
+    names, ids = bucket.names, bucket.when[0]
+    return pa.table(
+        {"name": names[later], "id": ids[later], "other": names[earlier], "other_id": ids[earlier]}, schema=NAMED
+    )
 
 
 def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for rows in batches:
-        lists = [unpack(x, "<i8") for x in rows["listed"].to_pylist()]
-        names = np.repeat(rows["name"].to_numpy(), [len(x) for x in lists])
-        yield batch(NAMED, name=names, other=np.concatenate([np.zeros(0, np.int64), *lists]))
+        lists = [unpack(x, "<i8").reshape(2, -1) for x in rows["listed"].to_pylist()]
+        others = np.concatenate([np.zeros((2, 0), np.int64), *lists], axis=1)
+        names, ids = (np.repeat(rows[c].to_numpy(), [x.shape[1] for x in lists]) for c in ("name", "id"))
+        yield batch(NAMED, name=names, id=ids, other=others[0], other_id=others[1])
 
 
 MAP = pa.schema([("block", pa.int64()), ("bits", pa.binary())])
@@ -490,21 +555,22 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield rows.select(["name"]).filter(pa.array(5 * common >= 4 * (n + m - common), pa.bool_()))
 
 
-def _similar(candidates: DataFrame, texts: DataFrame, first: DataFrame) -> DataFrame:
+def _similar(candidates: DataFrame, texts: DataFrame) -> DataFrame:
     """name of each line that is similar to a candidate."""
-    pairs = stored(candidates.select("name", "other").distinct())
-    names = pairs.select("name").unionAll(pairs.select("other")).distinct()
-    places = stored(first.join(names, "name", "left_semi").groupBy("doc_id").agg(F.collect_set("name").alias("names")))
+    pairs = stored(candidates.select(*NAMED.names).distinct())
+    named = pairs.select("name", "id").unionAll(pairs.select("other", "other_id"))
+    places = stored(named.groupBy(F.col("id").alias("doc_id")).agg(F.collect_set("name").alias("names")))
     # a line's set is read from the document that holds it first
     texts = _with_ids(texts, places)
     sets = stored(
-        texts.join(places, texts["doc_id"].eqNullSafe(places["doc_id"]))
+        # merged, as the Python of both sides of a broadcast join would run in one task
+        texts.join(places.hint("merge"), texts["doc_id"].eqNullSafe(places["doc_id"]))
         .select(texts["doc_id"], "text", "names")
         .mapInArrow(_wanted_sets, sql(SETS))
         .dropDuplicates(["name"])
     )
     others = sets.select(F.col("name").alias("other"), F.col("words").alias("other_words"))
-    met = pairs.join(sets, "name").join(others, "other")
+    met = pairs.select("name", "other").join(sets, "name").join(others, "other")
     return stored(met.mapInArrow(_confirm, "name long").distinct())
 
 
@@ -520,19 +586,19 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     found = stored(
         texts.mapInArrow(_send_entries(rank, buckets), sql(ENTRIES))
         .groupBy("bucket")
-        .applyInArrow(_name_candidates(FEW, LISTED), sql(CANDIDATES))
+        .applyInArrow(_name_candidates(FEW, LISTED, LEAST), sql(CANDIDATES))
     )
-    repeats = _similar(found, texts, first)
+    repeats = _similar(found, texts)
     left = stored(found.filter("listed is not null").join(repeats, "name", "left_anti"))
     if not left.isEmpty():
-        new = _similar(left.select("name", "listed").mapInArrow(_listed, sql(NAMED)), texts, first)
+        new = _similar(left.select("name", "id", "listed").mapInArrow(_listed, sql(NAMED)), texts)
         repeats = repeats.unionAll(new)
         left = stored(left.filter("over").join(new, "name", "left_anti").select("bucket", "name", "words"))
         if not left.isEmpty():
             entries = texts.mapInArrow(_send_entries(rank, buckets, _cells(left.select("words"))), sql(ENTRIES))
             asked = left.select("bucket", "name")
             rest = entries.groupBy("bucket").cogroup(asked.groupBy("bucket")).applyInArrow(_all_candidates, sql(NAMED))
-            repeats = repeats.unionAll(_similar(rest, texts, first))
+            repeats = repeats.unionAll(_similar(rest, texts))
     fate = first.join(repeats.withColumn("repeats", F.lit(True)), "name", "left").select(
         "name", F.struct("doc_id", "line").alias("first"), "repeats"
     )

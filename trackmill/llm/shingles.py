@@ -62,8 +62,8 @@ def lowered(text: np.ndarray) -> np.ndarray:
 def word_spans(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Start and end of every word of ``text``, which begins and ends with a space."""
     space = _SPACE[text]
-    start = np.flatnonzero(space[:-1] & ~space[1:]) + 1
-    return start, np.flatnonzero(~space[:-1] & space[1:]) + 1
+    edges = np.flatnonzero(space[1:] != space[:-1]) + 1
+    return edges[::2], edges[1::2]
 
 
 class ShingleSets:
