@@ -211,6 +211,15 @@ def test_texts_are_picked_by_id_before_they_are_shuffled(spark):
     assert line_dedup._with_ids(texts, texts.limit(0)).count() == 0
 
 
+def test_texts_are_not_picked_and_cut_in_one_task(spark):
+    texts = spark.createDataFrame([(i, f"a b{i}\nc") for i in range(9)], "doc_id long, text string")
+    names = line_dedup.Lines([4], [b"a b4"]).name.view(np.int64).tolist()
+    sets = line_dedup._sets_of(texts, spark.createDataFrame([(4, names), (7, names)], "doc_id long, names array<long>"))
+    assert [r.name for r in sets.collect()] == names
+    plan = sets._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in plan and "BroadcastHashJoin" not in plan  # a worker a task, not two
+
+
 def test_lines_of_given_cells():
     texts = [t.encode() for _, t in line_rows() if t]
     every = line_dedup.Lines([*range(len(texts))], texts)

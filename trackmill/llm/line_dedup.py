@@ -555,20 +555,19 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield rows.select(["name"]).filter(pa.array(5 * common >= 4 * (n + m - common), pa.bool_()))
 
 
+def _sets_of(texts: DataFrame, places: DataFrame) -> DataFrame:
+    """Sets of the lines named in ``places``, each read from the document that holds it first."""
+    # merged, as after a broadcast join the Python of both sides would run in one task, with a worker each
+    joined = _with_ids(texts, places).alias("t").join(places.alias("p").hint("merge"), F.expr("t.doc_id <=> p.doc_id"))
+    return joined.select("t.doc_id", "t.text", "p.names").mapInArrow(_wanted_sets, sql(SETS))
+
+
 def _similar(candidates: DataFrame, texts: DataFrame) -> DataFrame:
     """name of each line that is similar to a candidate."""
     pairs = stored(candidates.select(*NAMED.names).distinct())
     named = pairs.select("name", "id").unionAll(pairs.select("other", "other_id"))
     places = stored(named.groupBy(F.col("id").alias("doc_id")).agg(F.collect_set("name").alias("names")))
-    # a line's set is read from the document that holds it first
-    texts = _with_ids(texts, places)
-    sets = stored(
-        # merged, as the Python of both sides of a broadcast join would run in one task
-        texts.join(places.hint("merge"), texts["doc_id"].eqNullSafe(places["doc_id"]))
-        .select(texts["doc_id"], "text", "names")
-        .mapInArrow(_wanted_sets, sql(SETS))
-        .dropDuplicates(["name"])
-    )
+    sets = stored(_sets_of(texts, places).dropDuplicates(["name"]))
     others = sets.select(F.col("name").alias("other"), F.col("words").alias("other_words"))
     met = pairs.select("name", "other").join(sets, "name").join(others, "other")
     return stored(met.mapInArrow(_confirm, "name long").distinct())
