@@ -159,6 +159,27 @@ def test_a_large_benchmark_is_not_broadcast(spark, monkeypatch):
     assert {(r.doc_id, r.item_id) for r in decontaminate.matches(docs, benchmark).collect()} == {(i, i) for i in range(8)}
 
 
+def test_fingerprints_are_planned_once(spark, monkeypatch):
+    rows, items = decontamination_cases(spark)
+    docs, _ = plain.documents(spark, rows)
+    keep, planned = decontaminate.stored, []
+
+    def made(df):
+        return df._jdf.queryExecution().optimizedPlan().toString().count("AS fingerprint#")
+
+    def stored(df):
+        planned.append(made(df))
+        return keep(df)
+
+    monkeypatch.setattr(decontaminate, "stored", stored)
+    spark.conf.set("spark.sql.debug.maxToStringFields", 1000)
+    try:
+        last = made(decontaminate.matches(docs, spark.createDataFrame(items, "item_id long, text string")))
+    finally:
+        spark.conf.unset("spark.sql.debug.maxToStringFields")
+    assert max(planned) == 1 and sum(planned) == 2 and last == 0
+
+
 def vectors(spark):
     rng = np.random.default_rng(4)
     rows = [(i, rng.normal(size=12).tolist()) for i in range(700)]

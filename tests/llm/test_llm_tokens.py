@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -221,6 +222,22 @@ def test_large_groups_of_equal_lengths_leave_no_room():
     assert search(counts) == Plan([(((600, 1), (362, 4)), 1000)])
 
 
+def test_search_holds_little_of_the_nodes_on_its_path():
+    lengths = np.random.default_rng(7).lognormal(6.8, 1, 20_000)
+    counts = np.bincount(np.clip(lengths.astype(int), 1, 2048), minlength=2049)
+    tracemalloc.start()
+    plan = search(counts)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 60e6
+    used = np.zeros_like(counts)
+    for filling, times in plan.steps:
+        assert sum(n * k for n, k in filling) <= 2048
+        for n, k in filling:
+            used[n] += times * k
+    assert (used == counts).all()
+
+
 def test_search_finds_the_fewest_of_groups():
     rng = random.Random(5)
     for _ in range(40):

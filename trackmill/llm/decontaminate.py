@@ -167,32 +167,33 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     of_all, foreign = SIMILAR[1], SIMILAR[1] - SIMILAR[0]
     windows = stored(windows.filter(of_all * unknown <= foreign * F.size("shingles")).drop("known").dropDuplicates(["window"]))
 
-    # 2. fingerprints
-    parts = windows.select("window", F.explode("shingles").alias("shingle"))
+    # 2. fingerprints, stored: each is met twice, and a plan with its sums is large on the driver
+    parts = windows.select("window", "n_words", F.explode("shingles").alias("shingle"))
     parts = parts.join(sent(weights), "shingle", "left").withColumn("weight", F.coalesce("weight", rest))
-    prints = windows.select("window", "doc_id", "start", "n_words", "shingles").join(_simhash(parts, ["window"]), "window")
+    prints = stored(_simhash(parts, ["window", "n_words"]))
     own = items.select("item", F.explode(F.array_distinct(_shingles(F.col("words"), F.col("width")))).alias("shingle"))
     weighed = F.collect_list(F.struct("shingle", "weight")).alias("weighed")
-    own = own.join(sent(weights), "shingle")
+    own = stored(own.join(sent(weights), "shingle"))
     item_prints = _simhash(own, ["item"]).join(own.groupBy("item").agg(weighed), "item")
-    item_prints = items.select("item", "item_id", "n_words").join(item_prints, "item").select(
+    item_prints = stored(items.select("item", "item_id", "n_words").join(item_prints, "item").select(
         "item", "item_id", "n_words", "weighed", F.col("total").alias("item_total"), F.col("fingerprint").alias("item_print"),
-    )
+    ))
 
     # 3. Hamming blocks
     numbers = F.array(*[F.lit(b) for b in range(BLOCKS)])
     flips = F.array(*[F.lit(v) for v in _near_values()])
     index = (
         item_prints.select("item", "n_words", "item_print", F.explode(numbers).alias("block"))
-        .select("item", "n_words", "block", F.explode(flips).alias("flip"), _block("item_print").alias("own"))
-        .select("item", "n_words", "block", F.col("own").bitwiseXOR(F.col("flip")).alias("value"))
+        .select("item", "n_words", "item_print", "block", F.explode(flips).alias("flip"), _block("item_print").alias("own"))
+        .select("item", "n_words", "item_print", "block", F.col("own").bitwiseXOR(F.col("flip")).alias("value"))
     )
-    asked = prints.select("window", "n_words", "fingerprint", F.explode(numbers).alias("block")).select(
-        "window", "n_words", "block", _block("fingerprint").alias("value")
+    asked = prints.select("window", "n_words", "total", "fingerprint", F.explode(numbers).alias("block")).select(
+        "window", "n_words", "total", "fingerprint", "block", _block("fingerprint").alias("value")
     )
-    candidates = asked.join(sent_index(index), ["n_words", "block", "value"]).select("window", "item").distinct()
-    pairs = candidates.join(prints.drop("n_words"), "window").join(sent(item_prints.drop("n_words")), "item")
-    pairs = pairs.filter(F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("item_print"))) <= RADIUS)
+    agree = asked.join(sent_index(index), ["n_words", "block", "value"])
+    agree = agree.filter(F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("item_print"))) <= RADIUS)
+    pairs = agree.select("window", "total", "item").distinct().join(windows.drop("n_words"), "window")
+    pairs = pairs.join(sent(item_prints.drop("n_words", "item_print")), "item")
 
     # 4. whole sets
     common = F.aggregate(

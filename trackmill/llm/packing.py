@@ -16,6 +16,7 @@ import zlib
 from bisect import bisect_right
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -114,33 +115,42 @@ class Completions:
     """
 
     def __init__(self, counts: np.ndarray, largest: int, capacity: int):
-        self.largest, self.room = largest, capacity - largest
-        left = counts[: self.room + 1].tolist()
-        if largest <= self.room:
-            left[largest] -= 1
-        self.left = {n: many for n, many in enumerate(left) if n and many}
-        self.lengths = sorted(self.left)
-        self.available = sum(1 << n for n in self.lengths)
-        self._sums: list[int] = []
+        self.counts, self.largest, self.room = counts, largest, capacity - largest
 
-    @property
+    @cached_property
+    def left(self) -> dict[int, int]:
+        """How many there are of each length that fits beside the largest piece."""
+        left = self.counts[: self.room + 1].tolist()
+        if self.largest <= self.room:
+            left[self.largest] -= 1
+        return {n: many for n, many in enumerate(left) if n and many}
+
+    @cached_property
+    def lengths(self) -> list[int]:
+        return sorted(self.left)
+
+    @cached_property
+    def available(self) -> int:
+        return sum(1 << n for n in self.lengths)
+
+    @cached_property
     def sums(self) -> list[int]:
-        """The totals that the first i lengths can make, as bits; built anew after ``rest``."""
-        if not self._sums:
-            full = (1 << self.room + 1) - 1
-            self._sums = [1]
-            for n in self.lengths:
-                total, many, step = self._sums[-1], min(self.left[n], self.room // n), 1
-                while many:
-                    step = min(step, many)
-                    total |= total << n * step & full
-                    many, step = many - step, 2 * step
-                self._sums.append(total)
-        return self._sums
+        """The totals that the first i lengths can make, as bits."""
+        full = (1 << self.room + 1) - 1
+        sums = [1]
+        for n in self.lengths:
+            total, many, step = sums[-1], min(self.left[n], self.room // n), 1
+            while many:
+                step = min(step, many)
+                total |= total << n * step & full
+                many, step = many - step, 2 * step
+            sums.append(total)
+        return sums
 
     def rest(self) -> None:
-        """Free the table while other nodes are searched."""
-        self._sums = []
+        """Free the tables while other nodes are searched; they are built anew after it."""
+        for name in ("left", "lengths", "available", "sums"):
+            self.__dict__.pop(name, None)
 
     def _dominated(self, one: int, more: int, spare: int, unused: int) -> bool:
         """Whether a piece among ``unused`` can take the place of others; ``one`` and ``more`` hold
@@ -206,10 +216,11 @@ def _times(counts: np.ndarray, filling: Filling) -> int:
 
 
 def _apply(counts: np.ndarray, filling: Filling, times: int) -> np.ndarray:
+    """The pieces then left, up to the longest length there is: a path holds these of every node."""
     left = counts.copy()
     for n, k in filling:
         left[n] -= times * k
-    return left
+    return left[: np.flatnonzero(left)[-1] + 1].copy() if left.any() else left[:0].copy()
 
 
 def _greedy(counts: np.ndarray, capacity: int, choose) -> Plan:
@@ -269,7 +280,7 @@ def search(counts: np.ndarray, capacity: int = CAPACITY, nodes: int = NODES) ->
     stack: list[tuple] = []  # of each node on the path: pieces left, sequences used, ways, children
 
     def open_node(left: np.ndarray, used: int, width: int | None) -> None:
-        remaining = int((left * sizes).sum())
+        remaining = int((left * sizes[: len(left)]).sum())
 
         def enough(total: int) -> bool:
             return used + 1 - (total - remaining) // capacity < best
@@ -296,7 +307,7 @@ def search(counts: np.ndarray, capacity: int = CAPACITY, nodes: int = NODES) ->
                 continue
             after = _apply(left, *child)
             # the room wasted so far may cost a sequence already
-            if used + child[1] - (-int((after * sizes).sum()) // capacity) >= best:
+            if used + child[1] - (-int((after * sizes[: len(after)]).sum()) // capacity) >= best:
                 continue
             path[len(stack) - 1 :] = [child]
             if after.any():
