@@ -8,7 +8,7 @@ import plain
 import pyarrow as pa
 import pytest
 
-from trackmill.llm import line_dedup, ngram_join, suffix
+from trackmill.llm import components as components_module, line_dedup, ngram_join, suffix
 from trackmill.llm.components import components
 from trackmill.llm.deep_shallow import BlindTrie, sort_suffixes
 
@@ -121,6 +121,24 @@ def test_groups_of_chains_and_border_cases(spark, seed):
     assert sorted(str(tuple(r)) for r in found) == groups_of(rows)
 
 
+def test_similarity_join_gathers_nothing_on_the_driver(spark, monkeypatch):
+    """Exploded lists and compressed files look small to Spark, which would broadcast them."""
+    plans = []
+
+    def told(module):
+        stored = module.stored
+        monkeypatch.setattr(module, "stored", lambda df: plans.append(df._jdf.queryExecution().sparkPlan().toString()) or stored(df))
+
+    told(ngram_join), told(components_module)
+    text = [f"w{i}" for i in range(40)]
+    rows = [(i, " ".join([*text[: 30 + i % 10], *(f"x{i}{j}" for j in range(i % 12))])) for i in range(40)]
+    docs, rows = plain.documents(spark, rows)
+    found = ngram_join.join_similar(docs)
+    plans.append(found._jdf.queryExecution().sparkPlan().toString())
+    assert sorted(str(tuple(r)) for r in found.collect()) == groups_of(rows)
+    assert len(plans) > 8 and [p for p in plans if "Broadcast" in p] == []
+
+
 def test_similarity_join_of_nothing(spark):
     assert ngram_join.join_similar(plain.empty(spark)).count() == 0
 
