@@ -139,6 +139,41 @@ def test_similarity_join_gathers_nothing_on_the_driver(spark, monkeypatch):
     assert len(plans) > 8 and [p for p in plans if "Broadcast" in p] == []
 
 
+def test_signatures_of_many_slices_go_to_a_bucket_together():
+    texts = pa.array([" ".join(f"w{i}x{j}" for j in range(20)) for i in range(200)])
+    slices = [pa.RecordBatch.from_pydict({"text": texts[low : low + 5]}) for low in range(0, 200, 5)]
+    sent = pa.Table.from_batches(list(ngram_join._send_lists(8)(iter(slices)))).to_pylist()
+    whole = pa.RecordBatch.from_pydict({"text": texts})
+    once = pa.Table.from_batches(list(ngram_join._send_lists(8)(iter([whole])))).to_pylist()
+
+    def owned(rows):
+        found = set()
+        for row in rows:
+            names, needs = np.frombuffer(row["sets"], "<u8"), np.frombuffer(row["needs"], "<i4").reshape(-1, 2)
+            for owner, h in zip(np.frombuffer(row["owners"], "<u4"), np.frombuffer(row["hashes"], "<u8")):
+                found.add((row["bucket"], int(names[owner >> 1]), int(owner & 1), int(needs[owner >> 1, owner & 1]), int(h)))
+        return found
+
+    assert len(sent) == 8 and owned(sent) == owned(once)
+
+
+def test_pairs_by_sizes_leave_out_those_of_a_component(spark):
+    rng = random.Random(5)
+    rows = [(g, 100 * g + i, 20, rng.randrange(3), rng.randrange(3), 100 * g + (0 if i < 20 else i)) for g in range(3) for i in range(25)]
+    described = spark.createDataFrame(rows, "g long, doc_id long, n long, n_added long, n_lost long, component long")
+    near = [r for r in rows if 180 * r[3] <= 20 * (r[2] + r[2] * 100 // 80)]
+    wanted = {
+        (a[1], b[1])
+        for a in near
+        for b in near
+        if a[0] == b[0] and a[5] < b[5] and 180 * (a[3] + b[3] + abs(a[4] - b[4])) <= 20 * (a[2] + b[2])
+    }
+    pairs = ngram_join._by_sizes(described)
+    assert {(r.doc_id, r.hub) for r in pairs.collect()} == wanted and pairs.count() == len(wanted) > 0
+    join = pairs._jdf.queryExecution().optimizedPlan().toString()
+    assert "largest" in join  # the 20 sets of a group's largest component meet the 5 others alone
+
+
 def test_similarity_join_of_nothing(spark):
     assert ngram_join.join_similar(plain.empty(spark)).count() == 0
 
