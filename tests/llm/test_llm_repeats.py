@@ -47,6 +47,24 @@ def test_suffix_removal_returns_the_bytes(spark):
     assert suffix.remove_repeats(plain.empty(spark)).count() == 0
 
 
+def test_what_suffix_removal_moves_is_compressed():
+    rng = random.Random(3)
+    words = [f"word{rng.randrange(10**4)}" for _ in range(300)]
+    texts = [" ".join(rng.choice(words) for _ in range(200)) for _ in range(100)]
+    ids = [None, *range(1, 100)]
+    rows = pa.RecordBatch.from_pydict({"batch": [5] * 100, "doc_id": pa.array(ids, pa.int64()), "text": texts})
+    packed = pa.Table.from_batches(list(suffix._send_texts(iter([rows]))))
+    raw = "".join(texts).encode()
+    assert suffix._texts_of(packed).bytes.tobytes() == raw
+    assert sum(map(len, packed["texts"].to_pylist())) < 0.6 * len(raw)
+    h = np.unique(suffix._texts_of(packed).hashes)
+    assert suffix._unpack_48(suffix._pack_48(h)).tolist() == h.tolist()
+    told = pa.table({"batch": [5], "hashes": [suffix._pack_48(h)]})
+    sent = suffix._send_surroundings(4)([pa.scalar(5)], packed, told)
+    records = sum(len(suffix._unsqueezed(x)) for x in sent["records"].to_pylist())
+    assert records > len(raw) and sum(map(len, sent["records"].to_pylist())) < 0.6 * records
+
+
 def test_suffixes_sort_like_their_bytes():
     rng = np.random.default_rng(0)
     text = rng.integers(97, 99, 3000).astype(np.uint8)
